@@ -66,3 +66,208 @@ def trade_vertices(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(side("supplier", "S", "s_suppkey", "s_acctbal"))
         .unionByName(side("nation", "N", "n_nationkey", None))
     )
+
+
+# The bibliography view.  Inputs are plain row-local projections written once as
+# SQL that both Spark and the checking database run; operators are applied on top.
+
+
+def _key(number: str) -> str:
+    return f"concat('orders/', lpad(CAST({number} % 97 AS STRING), 9, '0'), '/', CAST({number} AS STRING))"
+
+
+def _clerk(number: str) -> str:
+    return f"concat('Clerk ', lpad(CAST({number} % 97 AS STRING), 9, '0'))"
+
+
+def _customer(number: str) -> str:
+    return f"concat('Customer ', lpad(CAST({number} AS STRING), 9, '0'))"
+
+
+_VOLUME_EDITION = "concat(journal, '/', trim(year), '/', volume)"
+_PROCEEDING = "concat(booktitle, '/', trim(year))"
+
+BIBLIOGRAPHY = {
+    # A record per order: two to three authors, a title naming a nation and
+    # mostly a region, a year that is padded or unreadable in places.
+    "papers": f"""
+        SELECT {_key('o_orderkey')} AS key, o_orderkey AS num, o_custkey AS custkey,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'inproceedings' ELSE 'article' END AS record_type,
+               concat('The ', lower(substr(o_orderpriority, 3)),
+                      CASE WHEN o_orderkey % 4 = 0 THEN ' data storage' ELSE ' trade' END,
+                      ' meeting ', CAST(o_custkey % 40 AS STRING), ' in ',
+                      replace(lower(n_name), '_', ' '), ' for ',
+                      CASE WHEN o_orderkey % 7 = 0 THEN 'nobody' ELSE lower(r_name) END) AS title,
+               CASE WHEN o_orderkey % 11 = 0 THEN 'n.d.'
+                    WHEN o_orderkey % 5 = 0 THEN concat('  ', CAST(year(o_orderdate) AS STRING), ' ')
+                    ELSE CAST(year(o_orderdate) AS STRING) END AS year,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS booktitle,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE concat('J ', o_orderpriority) END AS journal,
+               CAST(month(o_orderdate) AS STRING) AS volume,
+               CASE WHEN o_orderkey % 3 = 0
+                    THEN concat({_clerk('o_orderkey')}, '|', {_customer('o_custkey')}, '|', {_customer('(o_custkey + 1)')})
+                    ELSE concat({_clerk('o_orderkey')}, '|', {_customer('o_custkey')}) END AS author,
+               CASE o_orderstatus WHEN 'F' THEN 'FullPaper' WHEN 'O' THEN 'ShortPaper'
+                                  WHEN 'P' THEN 'DemoPaper' END AS type,
+               substr(o_orderpriority, 1, 1) AS digit
+        FROM {{orders}}
+        JOIN {{nation}} ON n_nationkey = o_custkey % 25
+        JOIN {{region}} ON r_regionkey = n_regionkey""",
+    "citations": f"""
+        SELECT {_key('l_orderkey')} AS id,
+               CASE WHEN l_linenumber = 7 THEN '...' ELSE {_key('l_partkey * 8')} END AS cite
+        FROM {{lineitem}}""",
+    "gazetteer": """
+        SELECT 'city' AS kind, replace(n_name, '_', ' ') AS name FROM {nation}
+        UNION ALL SELECT 'country' AS kind, r_name AS name FROM {region}""",
+    "organizations": "SELECT n_name AS organization FROM {nation}",
+    "kg_papers": "SELECT key AS id, title, trim(year) AS year, type, booktitle AS publication FROM {papers}",
+    "kg_keyword": """
+        SELECT DISTINCT concat('kw', substr(p_brand, 7)) AS id, p_brand AS words FROM {part}""",
+    "kg_conf_area": """
+        SELECT DISTINCT booktitle AS conf_id, concat('kw', digit) AS area_id FROM {papers}
+        WHERE record_type = 'inproceedings'""",
+    "kg_conferences": """
+        SELECT DISTINCT booktitle AS conf_id,
+               CASE digit WHEN '1' THEN 'Workshop' WHEN '2' THEN 'Symposium' WHEN '3' THEN 'WorkGroup'
+                          WHEN '4' THEN 'RegularConference' ELSE 'Other' END AS type
+        FROM {papers} WHERE record_type = 'inproceedings'""",
+    "kg_has_proceedings": f"""
+        SELECT DISTINCT booktitle AS conf_id, {_PROCEEDING} AS edition_id
+        FROM {{papers}} WHERE record_type = 'inproceedings' AND booktitle IS NOT NULL
+        UNION ALL SELECT DISTINCT booktitle AS conf_id, concat(booktitle, '/planned') AS edition_id
+        FROM {{papers}} WHERE booktitle IS NOT NULL""",
+    "kg_contains_volume": f"""
+        SELECT DISTINCT journal AS journal_id, {_VOLUME_EDITION} AS edition_id
+        FROM {{papers}} WHERE record_type = 'article' AND journal IS NOT NULL""",
+    "kg_cHandledBy": """
+        SELECT DISTINCT concat('Chair ', CAST(custkey % 25 AS STRING)) AS chair_id, booktitle AS conf_id
+        FROM {papers} WHERE record_type = 'inproceedings'""",
+    "kg_jHandledBy": """
+        SELECT DISTINCT concat('Editor ', CAST(custkey % 25 AS STRING)) AS editor_id, journal AS journal_id
+        FROM {papers} WHERE record_type = 'article'""",
+    "kg_journal_area": """
+        SELECT DISTINCT journal AS journal_id, concat('kw1', digit) AS area_id FROM {papers}
+        WHERE record_type = 'article'""",
+    "kg_paper_area": f"""
+        SELECT {_key('l_orderkey')} AS paper_id, concat('kw', substr(p_brand, 7)) AS area_id
+        FROM {{lineitem}} JOIN {{part}} ON p_partkey = l_partkey""",
+    "kg_reviews": f"""
+        SELECT concat('rev', CAST(d.doc_id AS STRING)) AS review_id, {_key('d.doc_id')} AS paper_id,
+               CASE WHEN quality = 1 THEN 'accept' ELSE 'reject' END AS decision, text AS review_text,
+               concat('reviewer', CAST(d.doc_id % 100 AS STRING)) AS author_id
+        FROM {{documents}} AS d JOIN {{labels}} AS l ON l.doc_id = d.doc_id""",
+    "kg_journals": "SELECT journal AS journal_id FROM {papers} WHERE record_type = 'article'",
+    "kg_has_publication": f"""
+        SELECT CASE WHEN record_type = 'article' THEN {_VOLUME_EDITION} ELSE {_PROCEEDING} END AS edition_id,
+               key AS publication_id
+        FROM {{papers}} WHERE booktitle IS NOT NULL""",
+    "kg_assignments": """
+        SELECT concat('Chair ', CAST(s_nationkey AS STRING)) AS responsible_id, s_name AS reviewer
+        FROM {supplier}""",
+}
+
+_TABLES = ["nation", "region", "orders", "lineitem", "part", "supplier", "documents", "labels"]
+
+
+def bibliography(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One of the ``BIBLIOGRAPHY`` inputs over the driver's tables."""
+    sql = BIBLIOGRAPHY[name]
+    inputs = {t: table(spark, sf, t) for t in _TABLES if f"{{{t}}}" in sql}
+    if "{papers}" in sql:
+        inputs["papers"] = bibliography(spark, sf, "papers")
+    return spark.sql(sql, **inputs)
+
+
+def knowledge_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Input tables of the triple mapping."""
+    from .operators.relational import authorship
+
+    names = [n.removeprefix("kg_") for n in BIBLIOGRAPHY if n.startswith("kg_")]
+    tables = {n: bibliography(spark, sf, f"kg_{n}") for n in names}
+    written = authorship(bibliography(spark, sf, "papers"))
+    tables["author_writes_paper"] = written.select(
+        F.col("author").alias("author_id"), F.col("key").alias("paper_id")
+    )
+    tables["authors"] = written.select(
+        F.col("author").alias("author_id"), F.col("author").alias("author_name")
+    ).distinct()
+    return tables
+
+
+def typed_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """``record_type, column, values`` from columns of mixed content, one scan per table."""
+
+    def cells(name: str, **columns: str) -> DataFrame:
+        rows = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.expr(e).alias("values"))
+                for c, e in columns.items()
+            ]
+        )
+        spread = table(spark, sf, name).select(F.explode(rows).alias("c"))
+        return spread.select(F.lit(name).alias("record_type"), "c.column", "c.values")
+
+    def one(e: str) -> str:
+        return f"array(CAST({e} AS STRING))"
+
+    return (
+        cells("orders", **{c: one(e) for c, e in TYPED_COLUMNS["orders"].items()})
+        .unionByName(cells("part", **{c: one(e) for c, e in TYPED_COLUMNS["part"].items()}))
+        .unionByName(cells("events", **{c: one(e) for c, e in TYPED_COLUMNS["events"].items()}))
+        .unionByName(cells("part", tags="array(p_brand, p_type)"))
+    )
+
+
+TYPED_COLUMNS = {
+    "orders": {
+        "o_orderkey": "o_orderkey",
+        "o_totalprice": "o_totalprice",
+        "placed": "o_orderdate",
+        "placed_mixed": "CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)"
+        " ELSE CAST(o_orderdate AS STRING) END",
+        "large": "CASE WHEN o_totalprice > 400000 THEN 'TRUE' ELSE '' END",
+        "negated": "-o_custkey",
+        "empty": "''",
+    },
+    "part": {
+        "p_name": "p_name",
+        "size_or_price": "CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS STRING)"
+        " ELSE CAST(p_retailprice AS STRING) END",
+        "size_or_flag": "CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS STRING) ELSE 'true' END",
+        "bad_date": "CASE WHEN p_partkey % 2 = 0 THEN '2020-13-40' ELSE '2020-01-02' END",
+    },
+    "events": {"user_id": "user_id", "ts": "ts", "props": "props", "day": "CAST(ts AS DATE)"},
+}
+
+
+def bibliography_xml(spark: SparkSession, sf: str) -> DataFrame:
+    """``value``: every paper as an XML record with attributes, repeats and mixed content."""
+    papers = bibliography(spark, sf, "papers")
+    authors = F.transform(
+        F.split("author", "[|]"),
+        lambda a: F.concat(F.lit('<author orcid="'), F.element_at(F.split(a, " "), -1), F.lit('">'), a, F.lit("</author>")),
+    )
+
+    def element(name: str, column) -> object:
+        return F.concat(F.lit(f"<{name}>"), column, F.lit(f"</{name}>"))
+
+    def maybe(condition, text) -> object:
+        return F.when(condition, text).otherwise(F.lit(""))
+
+    is_article = F.col("record_type") == "article"
+    cited = F.expr(_key("CAST(floor(num / 2) AS BIGINT)"))
+    return papers.select(
+        F.concat(
+            F.lit("<"), "record_type", F.lit(' key="'), "key", F.lit('" mdate="2020-01-02">\n'),
+            F.array_join(authors, "\n"),
+            F.lit("\n<title>R&amp;D "), "title", F.lit(" <i>draft</i> text</title>"),
+            element("year", F.trim("year")),
+            maybe(F.col("journal").isNotNull() & is_article, element("journal", F.coalesce("journal", F.lit("")))),
+            maybe(F.col("booktitle").isNotNull() & ~is_article, element("booktitle", F.coalesce("booktitle", F.lit("")))),
+            maybe(F.col("num") % 9 == 0, F.lit("<ee/><note></note>")),
+            element("cite", cited),
+            maybe(F.col("num") % 10 == 0, F.lit("\n<cite>...</cite>")),
+            F.lit("</"), "record_type", F.lit(">"),
+        ).alias("value")
+    )
