@@ -189,17 +189,19 @@ _SSSP = f"""WITH RECURSIVE {_named(_trade())}, {_DIST}
 SELECT v.id, d.dist FROM v LEFT JOIN d ON d.id = v.id"""
 
 _PATHS = f"""WITH RECURSIVE {_named(_trade())}, {_DIST},
-tight AS (SELECT e.src, e.dst FROM e JOIN d a ON a.id = e.src JOIN d b ON b.id = e.dst
+best AS MATERIALIZED (SELECT * FROM d),
+tight AS MATERIALIZED (SELECT e.src, e.dst FROM e JOIN best a ON a.id = e.src JOIN best b ON b.id = e.dst
           WHERE a.dist + e.weight = b.dist),
 h(id, hops) USING KEY (id) AS (
   SELECT 'C0', 0 UNION
   SELECT t.dst, min(h.hops + 1) FROM h JOIN tight t ON t.src = h.id
   LEFT JOIN recurring.h AS r ON r.id = t.dst WHERE r.hops IS NULL OR h.hops + 1 < r.hops GROUP BY t.dst),
-parent AS (SELECT t.dst AS id, min(t.src) AS up FROM tight t JOIN h a ON a.id = t.src JOIN h b ON b.id = t.dst
+level AS MATERIALIZED (SELECT * FROM h),
+parent AS MATERIALIZED (SELECT t.dst AS id, min(t.src) AS up FROM tight t JOIN level a ON a.id = t.src JOIN level b ON b.id = t.dst
            WHERE a.hops + 1 = b.hops GROUP BY t.dst),
 p(id, path) AS (SELECT 'C0', 'C0' UNION ALL
   SELECT parent.id, p.path || ',' || parent.id FROM p JOIN parent ON parent.up = p.id)
-SELECT v.id, d.dist, p.path FROM v LEFT JOIN d ON d.id = v.id LEFT JOIN p ON p.id = v.id"""
+SELECT v.id, best.dist, p.path FROM v LEFT JOIN best ON best.id = v.id LEFT JOIN p ON p.id = v.id"""
 
 _MAX_REACH = f"""WITH RECURSIVE {_named([*_trade(closed=False), _MONEY])},
 m(id, value) USING KEY (id) AS (

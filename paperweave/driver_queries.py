@@ -17,7 +17,7 @@ from .operators.pagerank import pagerank, pagerank_sweep, top_ranked
 from .operators.pregel import graph_max_value, propagate_max
 from .operators.propgraph import NODE_PROPERTIES
 from .operators.shortest_paths import render_paths, shortest_costs, shortest_paths
-from .operators.triples import RDF_TYPE, author_titles, props_of_domains
+from .operators.triples import RDF_TYPE, author_titles, props_of_domains, store_triples
 from .plans import bibliography as bib
 from .plans import knowledge_graph as kg
 from .plans import property_graph as pg
@@ -290,36 +290,45 @@ def _title_words(papers: DataFrame) -> DataFrame:
     return papers.withColumn("keywords", F.array_join(words, "|"))
 
 
-def _conference_papers(spark, sf):
-    return _title_words(rel.coerce_year(_conference(spark, sf), ["key", "title", "booktitle", "year"]))
+def _half(papers: DataFrame, kind: str) -> DataFrame:
+    return papers.filter(F.col("record_type") == kind)
 
 
-def _journal_papers(spark, sf):
-    return _title_words(rel.coerce_year(_journal(spark, sf), ["key", "title", "journal", "year", "volume"]))
+def _load(name: str, papers: DataFrame, spark, sf) -> pg.Load:
+    conference, journal = _half(papers, "inproceedings"), _half(papers, "article")
+    if name == "conferences":
+        return pg.load_conferences(bib.extract_conferences(conference))
+    if name == "journals":
+        return pg.load_journals(bib.extract_journals(journal))
+    if name == "conference_papers":
+        columns = ["key", "title", "booktitle", "year"]
+        return pg.load_conference_papers(_title_words(rel.coerce_year(conference, columns)))
+    if name == "journal_papers":
+        columns = ["key", "title", "journal", "year", "volume"]
+        return pg.load_journal_papers(_title_words(rel.coerce_year(journal, columns)))
+    if name == "places":
+        gazetteer = views.bibliography(spark, sf, "gazetteer")
+        return pg.load_places(bib.extract_venues(conference, gazetteer))
+    if name == "conference_authors":
+        return pg.load_authors(*bib.extract_authors(conference))
+    return pg.load_authors(*bib.extract_authors(journal))
 
 
-def _loads(spark, sf) -> dict[str, pg.Load]:
-    conference, journal = _conference(spark, sf), _journal(spark, sf)
-    return {
-        "conferences": pg.load_conferences(bib.extract_conferences(conference)),
-        "journals": pg.load_journals(bib.extract_journals(journal)),
-        "conference_papers": pg.load_conference_papers(_conference_papers(spark, sf)),
-        "journal_papers": pg.load_journal_papers(_journal_papers(spark, sf)),
-        "places": pg.load_places(extract_venues(spark, sf)),
-        "conference_authors": pg.load_authors(*bib.extract_authors(conference)),
-        "journal_authors": pg.load_authors(*bib.extract_authors(journal)),
-    }
+LOADS = (
+    "conferences", "journals", "conference_papers", "journal_papers", "places",
+    "conference_authors", "journal_authors",
+)
 
 
-def _affiliation_table(spark, sf):
-    return affiliations(spark, sf).withColumnRenamed("organization", "affiliation")
+def _loads(spark, sf, *names: str) -> list[pg.Load]:
+    papers = views.stored_papers(spark, sf)
+    return [_load(n, papers, spark, sf) for n in names]
 
 
 def _entity_nodes(spark, sf) -> DataFrame:
     """Paper and Author nodes, the ends that reviews and citations must match."""
-    loads = _loads(spark, sf)
-    names = ["conference_papers", "journal_papers", "conference_authors", "journal_authors"]
-    rows = rel.union_all([loads[n].nodes for n in names])
+    loads = _loads(spark, sf, "conference_papers", "journal_papers", "conference_authors", "journal_authors")
+    rows = rel.union_all([x.nodes for x in loads])
     return rows.filter(F.col("label").isin("Paper", "Author")).select("label", "id").distinct()
 
 
@@ -332,30 +341,31 @@ def _load_summary(load: pg.Load) -> DataFrame:
 
 
 def load_conferences(spark, sf):
-    return _load_summary(_loads(spark, sf)["conferences"])
+    return _load_summary(*_loads(spark, sf, "conferences"))
 
 
 def load_journals(spark, sf):
-    return _load_summary(_loads(spark, sf)["journals"])
+    return _load_summary(*_loads(spark, sf, "journals"))
 
 
 def load_conference_papers(spark, sf):
-    return _load_summary(_loads(spark, sf)["conference_papers"])
+    return _load_summary(*_loads(spark, sf, "conference_papers"))
 
 
 def load_journal_papers(spark, sf):
-    return _load_summary(_loads(spark, sf)["journal_papers"])
+    return _load_summary(*_loads(spark, sf, "journal_papers"))
 
 
 def load_places(spark, sf):
-    return _load_summary(_loads(spark, sf)["places"])
+    return _load_summary(*_loads(spark, sf, "places"))
 
 
 def _graph(spark, sf) -> pg.Load:
-    loads = _loads(spark, sf)
-    nodes = rel.union_all([x.nodes for x in loads.values()])
+    loads = _loads(spark, sf, *LOADS)
+    nodes = rel.union_all([x.nodes for x in loads])
     known = nodes.filter(F.col("label") == "Author").select("id").distinct()
-    return pg.assemble(*loads.values(), pg.affiliation_load(_affiliation_table(spark, sf), known))
+    affiliated = affiliations(spark, sf).withColumnRenamed("organization", "affiliation")
+    return pg.assemble(*loads, pg.affiliation_load(affiliated, known))
 
 
 def nodes_all(spark, sf):
@@ -363,8 +373,8 @@ def nodes_all(spark, sf):
 
 
 def nodes_paper(spark, sf):
-    loads = _loads(spark, sf)
-    rows = [x.nodes.filter(F.col("label") == "Paper") for x in loads.values()]
+    loads = _loads(spark, sf, "conference_papers", "journal_papers", "conference_authors", "journal_authors")
+    rows = [x.nodes.filter(F.col("label") == "Paper") for x in loads]
     return pg.merge_nodes(*rows).select("id", "key", "title", "year")
 
 
@@ -373,9 +383,8 @@ def edges_all(spark, sf):
 
 
 def edges_writes(spark, sf):
-    loads = _loads(spark, sf)
-    merged = pg.merge_edges(loads["conference_authors"].edges, loads["journal_authors"].edges)
-    return merged.select("src", "dst", "is_lead")
+    loads = _loads(spark, sf, "conference_authors", "journal_authors")
+    return pg.merge_edges(*[x.edges for x in loads]).select("src", "dst", "is_lead")
 
 
 def _review_table(spark, sf, kind):
@@ -483,7 +492,8 @@ def pagerank_grid(spark, sf):
 
 
 def _triples(spark, sf):
-    return kg.knowledge_graph(spark, views.knowledge_tables(spark, sf), NS)
+    triples = kg.knowledge_graph(spark, views.knowledge_tables(spark, sf), NS)
+    return store_triples(triples, scratch_path(spark, "triples"))
 
 
 def tbox_usage(spark, sf):

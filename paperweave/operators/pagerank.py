@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, keep, shuffle_partitions
+from ..session import cut_lineage, keep, planned_shuffles, shuffle_partitions
 from .graph import endpoints
 from .pregel import PartitionedEdges
 
 
+# Rounds chained into one job before the lineage is cut.
+ROUNDS_PER_JOB = 1
+
+
 def pagerank_sweep(
     edges: DataFrame,
     reset_probs: list[float],
@@ -32,27 +36,30 @@ def pagerank_sweep(
     names = [f"r{i}" for i in range(len(reset_probs))]
     ranks = base.select("id", "degree", *[F.lit(1.0).alias(n) for n in names])
     snapshots = {0: ranks} if 0 in max_iters else {}
-    for i in range(1, max(max_iters) + 1):
-        sums = (
-            laid_out.from_sources(ranks.filter("degree IS NOT NULL"))
-            .select(
-                F.col("edge.dst").alias("id"),
-                *[(F.col(f"src.{n}") / F.col("src.degree")).alias(n) for n in names],
+    with planned_shuffles(edges.sparkSession):
+        for i in range(1, max(max_iters) + 1):
+            sums = (
+                laid_out.from_sources(
+                    ranks.filter("degree IS NOT NULL").select(
+                        "id", *[(F.col(n) / F.col("degree")).alias(n) for n in names]
+                    )
+                )
+                .select(F.col("edge.dst").alias("id"), *[F.col(f"src.{n}").alias(n) for n in names])
+                .groupBy("id")
+                .agg(*[F.sum(n).alias(f"in_{n}") for n in names])
             )
-            .groupBy("id")
-            .agg(*[F.sum(n).alias(f"in_{n}") for n in names])
-        )
-        ranks = base.join(sums.hint("shuffle_hash"), "id", "left").select(
-            "id",
-            "degree",
-            *[
-                (F.lit(p) + F.lit(1.0 - p) * F.coalesce(f"in_{n}", F.lit(0.0))).alias(n)
-                for n, p in zip(names, reset_probs)
-            ],
-        )
-        ranks = cut_lineage(ranks)
-        if i in max_iters:
-            snapshots[i] = ranks
+            ranks = base.join(sums.hint("shuffle_hash"), "id", "left").select(
+                "id",
+                "degree",
+                *[
+                    (F.lit(p) + F.lit(1.0 - p) * F.coalesce(f"in_{n}", F.lit(0.0))).alias(n)
+                    for n, p in zip(names, reset_probs)
+                ],
+            )
+            if i in max_iters or i % ROUNDS_PER_JOB == 0:
+                ranks = cut_lineage(ranks)
+            if i in max_iters:
+                snapshots[i] = ranks
     frames = []
     for i, snapshot in snapshots.items():
         totals = snapshot.agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).first()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, keep, shuffle_partitions
+from ..session import cut_lineage, keep, planned_shuffles, shuffle_partitions
 from .skew import MIN_HOT_ROWS, hot_keys
 
 
@@ -102,43 +102,48 @@ def pregel(
     that accepts is updated and sends in the next round.
     """
     laid_out = edges if isinstance(edges, PartitionedEdges) else PartitionedEdges(edges)
-    parts = shuffle_partitions(vertices.sparkSession)
+    spark = vertices.sparkSession
     columns = vertices.columns
-    first = vertices.withColumn("_live", F.coalesce(start, F.lit(False))).repartition(parts, "id")
-    state, live = _cut_and_count(first)
+    first = vertices.withColumn("_live", F.coalesce(start, F.lit(False)))
+    state, live = _cut_and_count(first.repartition(shuffle_partitions(spark), "id"))
     cached = None
     rounds = 0
-    while live and (max_iter is None or rounds < max_iter):
-        rounds += 1
-        merged = (
-            laid_out.from_sources(state.filter("_live"))
-            .select(F.col("edge.dst").alias("id"), message.alias("msg"))
-            .filter("msg IS NOT NULL")
-            .groupBy("id")
-            .agg(merge(F.col("msg")).alias("msg"))
-        )
-        takes = F.coalesce(F.col("msg").isNotNull() & accept, F.lit(False))
-        stepped = (
-            state.alias("state")
-            .join(merged.hint("shuffle_hash").alias("m"), F.col("state.id") == F.col("m.id"), "left")
-            .select(
-                *[
-                    F.when(takes, update[c]).otherwise(F.col(f"state.{c}")).alias(c)
-                    if c in update
-                    else F.col(f"state.{c}").alias(c)
-                    for c in columns
-                ],
-                takes.alias("_live"),
+    with planned_shuffles(spark):
+        while live and (max_iter is None or rounds < max_iter):
+            rounds += 1
+            merged = (
+                laid_out.from_sources(state.filter("_live"))
+                .select(F.col("edge.dst").alias("id"), message.alias("msg"))
+                .filter("msg IS NOT NULL")
+                .groupBy("id")
+                .agg(merge(F.col("msg")).alias("msg"))
             )
-        )
-        state, live = _cut_and_count(stepped)
-        if cached is not None:
-            cached.unpersist()
-            cached = None
-        if live and rounds % MEASURE_EVERY == 0:
-            cached = keep(state)
-            cached.count()
-            state = cached
+            takes = F.coalesce(F.col("msg").isNotNull() & accept, F.lit(False))
+            stepped = (
+                state.alias("state")
+                .join(
+                    merged.hint("shuffle_hash").alias("m"),
+                    F.col("state.id") == F.col("m.id"),
+                    "left",
+                )
+                .select(
+                    *[
+                        F.when(takes, update[c]).otherwise(F.col(f"state.{c}")).alias(c)
+                        if c in update
+                        else F.col(f"state.{c}").alias(c)
+                        for c in columns
+                    ],
+                    takes.alias("_live"),
+                )
+            )
+            state, live = _cut_and_count(stepped)
+            if cached is not None:
+                cached.unpersist()
+                cached = None
+            if live and rounds % MEASURE_EVERY == 0:
+                cached = keep(state)
+                cached.count()
+                state = cached
     result = state.select(columns)
     if not isinstance(edges, PartitionedEdges):
         laid_out.release()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,21 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+@contextmanager
+def planned_shuffles(spark: SparkSession):
+    """Run the enclosed actions without adaptive re-planning.
+
+    For loops whose tables are laid out for each other: there is nothing to
+    coalesce or re-plan, and each round saves the per-stage planning.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

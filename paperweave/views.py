@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.graph import parallel_min
+from .functions.cells import split_cell
+from .session import scratch_path
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,39 +18,40 @@ def _id(prefix: str, column: str):
 
 
 def trade_edges(spark: SparkSession, sf: str, closed: bool = True) -> DataFrame:
-    """customer → order → part → supplier → nation (→ customer when ``closed``)."""
-    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    one = F.lit(1).cast("long").alias("weight")
-
-    def edge(df: DataFrame, src, dst, weight=one) -> DataFrame:
-        return df.select(src.alias("src"), dst.alias("dst"), weight)
-
-    # Both lineitem edge kinds come from one scan.
-    hops = F.array(
-        F.struct(
-            _id("O", "l_orderkey").alias("src"),
-            _id("P", "l_partkey").alias("dst"),
-            F.col("l_quantity").cast("long").alias("weight"),
-        ),
-        F.struct(
-            _id("P", "l_partkey").alias("src"),
-            _id("S", "l_suppkey").alias("dst"),
-            F.col("l_linenumber").cast("long").alias("weight"),
-        ),
+    """customer → order → part → supplier → nation (→ customer when ``closed``).
+
+    Parallel edges collapse on the numeric keys; text ids are made afterwards.
+    """
+
+    def hop(kind: str, src: str, dst: str, weight: str = "1"):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            *[F.expr(f"CAST({e} AS BIGINT)").alias(n) for n, e in (("a", src), ("b", dst), ("weight", weight))],
+        )
+
+    def hops(name: str, *kinds) -> DataFrame:
+        # All edge kinds of a table come from one scan.
+        return table(spark, sf, name).select(F.explode(F.array(*kinds)).alias("h")).select("h.*")
+
+    rows = (
+        hops("orders", hop("CO", "o_custkey", "o_orderkey"))
+        .unionByName(
+            hops(
+                "lineitem",
+                hop("OP", "l_orderkey", "l_partkey", "l_quantity"),
+                hop("PS", "l_partkey", "l_suppkey", "l_linenumber"),
+            )
+        )
+        .unionByName(hops("supplier", hop("SN", "s_suppkey", "s_nationkey")))
     )
-    lines = lineitem.select(F.explode(hops).alias("e")).select("e.*")
-    parts = [
-        edge(orders, _id("C", "o_custkey"), _id("O", "o_orderkey")),
-        lines,
-        edge(table(spark, sf, "supplier"), _id("S", "s_suppkey"), _id("N", "s_nationkey")),
-    ]
     if closed:
-        customer = table(spark, sf, "customer")
-        parts.append(edge(customer, _id("N", "c_nationkey"), _id("C", "c_custkey")))
-    edges = parts[0]
-    for part in parts[1:]:
-        edges = edges.unionByName(part)
-    return parallel_min(edges)
+        rows = rows.unionByName(hops("customer", hop("NC", "c_nationkey", "c_custkey")))
+    cheapest = rows.groupBy("kind", "a", "b").agg(F.min("weight").alias("weight"))
+    return cheapest.select(
+        F.concat(F.substring("kind", 1, 1), F.col("a")).alias("src"),
+        F.concat(F.substring("kind", 2, 1), F.col("b")).alias("dst"),
+        "weight",
+    )
 
 
 def trade_vertices(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,28 +172,41 @@ BIBLIOGRAPHY = {
 _TABLES = ["nation", "region", "orders", "lineitem", "part", "supplier", "documents", "labels"]
 
 
-def bibliography(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def bibliography(
+    spark: SparkSession, sf: str, name: str, papers: DataFrame | None = None
+) -> DataFrame:
     """One of the ``BIBLIOGRAPHY`` inputs over the driver's tables."""
     sql = BIBLIOGRAPHY[name]
     inputs = {t: table(spark, sf, t) for t in _TABLES if f"{{{t}}}" in sql}
     if "{papers}" in sql:
-        inputs["papers"] = bibliography(spark, sf, "papers")
+        inputs["papers"] = papers if papers is not None else bibliography(spark, sf, "papers")
     return spark.sql(sql, **inputs)
 
 
+def stored_papers(spark: SparkSession, sf: str) -> DataFrame:
+    """The paper records written out once, a folder per record type.
+
+    Jobs that read them many times then get pruned columns and partitions
+    instead of repeating the joins behind them.
+    """
+    path = scratch_path(spark, "papers")
+    bibliography(spark, sf, "papers").write.partitionBy("record_type").parquet(path)
+    return spark.read.parquet(path)
+
+
 def knowledge_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Input tables of the triple mapping."""
-    from .operators.relational import authorship
-
+    papers = stored_papers(spark, sf)
     names = [n.removeprefix("kg_") for n in BIBLIOGRAPHY if n.startswith("kg_")]
-    tables = {n: bibliography(spark, sf, f"kg_{n}") for n in names}
-    written = authorship(bibliography(spark, sf, "papers"))
-    tables["author_writes_paper"] = written.select(
+    tables = {n: bibliography(spark, sf, f"kg_{n}", papers) for n in names}
+    # Duplicates need no shuffle here: the triple set is deduplicated once at the end.
+    pairs = papers.select("key", F.explode(split_cell("author")).alias("author"))
+    tables["author_writes_paper"] = pairs.select(
         F.col("author").alias("author_id"), F.col("key").alias("paper_id")
     )
-    tables["authors"] = written.select(
+    tables["authors"] = pairs.select(
         F.col("author").alias("author_id"), F.col("author").alias("author_name")
-    ).distinct()
+    )
     return tables
 
 
