@@ -55,11 +55,13 @@ class PartitionedEdges:
             )
             self.edges.count()
             base.unpersist()
+        self._aliased = self.edges.alias("edge")
+        self._on = F.col("src.id") == F.col("edge.src")
+        if hot:
+            self._on = self._on & (F.col("src.slice") == F.col("edge.slice"))
 
     def from_sources(self, sources: DataFrame) -> DataFrame:
         """Join ``sources`` (alias ``src``) with their out-edges (alias ``edge``)."""
-        edge = self.edges.alias("edge")
-        on = F.col("src.id") == F.col("edge.src")
         if self.fan_out is not None:
             slices = F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)
             sources = (
@@ -67,9 +69,8 @@ class PartitionedEdges:
                 .withColumn("slice", F.explode(slices))
                 .drop("slices")
             )
-            on = on & (F.col("src.slice") == F.col("edge.slice"))
         # Sources are unique per id, so a task builds at most its share of vertices.
-        return sources.alias("src").hint("shuffle_hash").join(edge, on)
+        return sources.alias("src").hint("shuffle_hash").join(self._aliased, self._on)
 
     def release(self) -> None:
         self.edges.unpersist()
@@ -106,6 +107,16 @@ def pregel(
     columns = vertices.columns
     first = vertices.withColumn("_live", F.coalesce(start, F.lit(False)))
     state, live = _cut_and_count(first.repartition(shuffle_partitions(spark), "id"))
+    # Column trees do not change between rounds: build them once.
+    send = [F.col("edge.dst").alias("id"), message.alias("msg")]
+    merged_message = merge(F.col("msg")).alias("msg")
+    takes = F.coalesce(F.col("msg").isNotNull() & accept, F.lit(False))
+    next_state = [
+        (F.when(takes, update[c]).otherwise(F.col(f"state.{c}")) if c in update else F.col(f"state.{c}")).alias(c)
+        for c in columns
+    ]
+    next_state.append(takes.alias("_live"))
+    same_id = F.col("state.id") == F.col("m.id")
     cached = None
     rounds = 0
     with planned_shuffles(spark):
@@ -113,28 +124,15 @@ def pregel(
             rounds += 1
             merged = (
                 laid_out.from_sources(state.filter("_live"))
-                .select(F.col("edge.dst").alias("id"), message.alias("msg"))
+                .select(*send)
                 .filter("msg IS NOT NULL")
                 .groupBy("id")
-                .agg(merge(F.col("msg")).alias("msg"))
+                .agg(merged_message)
             )
-            takes = F.coalesce(F.col("msg").isNotNull() & accept, F.lit(False))
             stepped = (
                 state.alias("state")
-                .join(
-                    merged.hint("shuffle_hash").alias("m"),
-                    F.col("state.id") == F.col("m.id"),
-                    "left",
-                )
-                .select(
-                    *[
-                        F.when(takes, update[c]).otherwise(F.col(f"state.{c}")).alias(c)
-                        if c in update
-                        else F.col(f"state.{c}").alias(c)
-                        for c in columns
-                    ],
-                    takes.alias("_live"),
-                )
+                .join(merged.alias("m").hint("shuffle_hash"), same_id, "left")
+                .select(*next_state)
             )
             state, live = _cut_and_count(stepped)
             if cached is not None:
