@@ -52,7 +52,8 @@ def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             *[F.col(c).alias(f"{prefix}_{c}") for c in vertices.columns if c != "id"],
         )
 
-    return edges.join(side("src"), "src").join(side("dst"), "dst")
+    joined = edges.join(side("src"), "src").join(side("dst"), "dst")
+    return joined.select(*edges.columns, *[c for c in joined.columns if c not in edges.columns])
 
 
 def parallel_min(edges: DataFrame, weight: str = "weight") -> DataFrame:
