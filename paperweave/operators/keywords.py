@@ -27,13 +27,22 @@ def tokens(text: str | Column) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Array of n-word terms; position i holds the term starting at word i."""
+    """Array of n-word terms; position i holds the term starting at word i.
+
+    A term is null where any of its words is null.
+    """
     if n == 1:
         return words
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    return F.when(
-        F.size(words) >= n, F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    ).otherwise(F.array().cast("array<string>"))
+    starts = F.sequence(F.lit(0), F.size(words) - n)
+
+    def term(i: Column) -> Column:
+        parts = [F.get(words, i)]
+        for k in range(1, n):
+            parts += [F.lit(" "), F.get(words, i + k)]
+        return F.concat(*parts)
+
+    none = F.array().cast("array<string>")
+    return F.when(F.size(words) >= n, F.transform(starts, term)).otherwise(none)
 
 
 def keywords_topk(
@@ -52,14 +61,18 @@ def keywords_topk(
     tf · ln((1 + N) / (1 + df)); vocabulary terms come first.  Ties go to the
     smaller term.
     """
-    words = documents.select(key, tokens(text).alias("words"))
     n_docs = documents.count()
+    # Texts move once, by key; their terms (several times larger) are then
+    # counted where they are, and only the counts meet the term statistics.
+    words = (
+        documents.select(key, text)
+        .repartition(F.col(key))
+        .select(key, F.transform(tokens(text), lambda w: F.when(~w.isin(stop_words), w)).alias("words"))
+    )
     terms = F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_words + 1)])
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    clean = F.filter(terms, lambda t: ~F.arrays_overlap(F.split(t, " "), stop)) if stop_words else terms
-    # All terms of a text sit in one task here, so counting collapses before the shuffle.
     tf = (
-        words.select(key, F.explode(clean).alias("term"))
+        words.select(key, F.explode(terms).alias("term"))
+        .filter("term IS NOT NULL")
         .groupBy(key, "term")
         .agg(F.count("*").alias("tf"))
     )

@@ -32,7 +32,9 @@ def pagerank_sweep(
     laid_out = PartitionedEdges(edges.select("src", "dst"))
     ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
     degree = laid_out.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
-    base = keep(ids.repartition(parts, "id").join(degree, "id", "left"))
+    with planned_shuffles(edges.sparkSession):
+        base = keep(ids.repartition(parts, "id").join(degree, "id", "left"))
+        base.count()
     names = [f"r{i}" for i in range(len(reset_probs))]
     ranks = base.select("id", "degree", *[F.lit(1.0).alias(n) for n in names])
     snapshots = {0: ranks} if 0 in max_iters else {}

@@ -138,7 +138,8 @@ def pregel(
             if cached is not None:
                 cached.unpersist()
                 cached = None
-            if live and rounds % MEASURE_EVERY == 0:
+            more = live and (max_iter is None or rounds < max_iter)
+            if more and rounds % MEASURE_EVERY == 0:
                 cached = keep(state)
                 cached.count()
                 state = cached

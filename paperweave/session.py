@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app_name: str = "paperweave", **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -68,21 +69,35 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+DEFAULT_PARTITIONS = "200"  # Spark's own default for spark.sql.shuffle.partitions
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions for explicit layouts: the session's setting, or one per core
+    where the setting was left at Spark's default."""
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    chosen = spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
+    if setting == DEFAULT_PARTITIONS and not chosen:
+        return spark.sparkContext.defaultParallelism
+    return int(setting)
+
+
 @contextmanager
 def planned_shuffles(spark: SparkSession):
-    """Run the enclosed actions without adaptive re-planning.
+    """Run the enclosed actions with the layout's partition count and no re-planning.
 
     For loops whose tables are laid out for each other: there is nothing to
     coalesce or re-plan, and each round saves the per-stage planning.
     """
-    name = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    fixed = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(spark)),
+    }
+    before = {name: spark.conf.get(name) for name in fixed}
+    for name, value in fixed.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for name, value in before.items():
+            spark.conf.set(name, value)
