@@ -21,7 +21,7 @@ from .operators.triples import RDF_TYPE, author_titles, props_of_domains, store_
 from .plans import bibliography as bib
 from .plans import knowledge_graph as kg
 from .plans import property_graph as pg
-from .session import scratch_path
+from .session import cut_lineage, scratch_path
 from .sources import delimited, graph_files
 from .sources import xml_records as xml
 
@@ -309,9 +309,7 @@ def _load(name: str, papers: DataFrame, spark, sf) -> pg.Load:
     if name == "places":
         gazetteer = views.bibliography(spark, sf, "gazetteer")
         return pg.load_places(bib.extract_venues(conference, gazetteer))
-    if name == "conference_authors":
-        return pg.load_authors(*bib.extract_authors(conference))
-    return pg.load_authors(*bib.extract_authors(journal))
+    return pg.load_authorship(rel.authorship(conference if name == "conference_authors" else journal))
 
 
 LOADS = (
@@ -327,9 +325,8 @@ def _loads(spark, sf, *names: str) -> list[pg.Load]:
 
 def _entity_nodes(spark, sf) -> DataFrame:
     """Paper and Author nodes, the ends that reviews and citations must match."""
-    loads = _loads(spark, sf, "conference_papers", "journal_papers", "conference_authors", "journal_authors")
-    rows = rel.union_all([x.nodes for x in loads])
-    return rows.filter(F.col("label").isin("Paper", "Author")).select("label", "id").distinct()
+    loads = _loads(spark, sf, "conference_authors", "journal_authors")
+    return cut_lineage(rel.union_all([x.nodes for x in loads]).select("label", "id").distinct())
 
 
 def _load_summary(load: pg.Load) -> DataFrame:
@@ -363,7 +360,7 @@ def load_places(spark, sf):
 def _graph(spark, sf) -> pg.Load:
     loads = _loads(spark, sf, *LOADS)
     nodes = rel.union_all([x.nodes for x in loads])
-    known = nodes.filter(F.col("label") == "Author").select("id").distinct()
+    known = nodes.filter(F.col("label") == "Author").select("label", "id").distinct()
     affiliated = affiliations(spark, sf).withColumnRenamed("organization", "affiliation")
     return pg.assemble(*loads, pg.affiliation_load(affiliated, known))
 

@@ -71,7 +71,8 @@ def keywords_topk(
     )
     terms = F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_words + 1)])
     tf = (
-        words.select(key, F.explode(terms).alias("term"))
+        # The outer form keeps Spark from adding a size test that tokenizes twice.
+        words.select(key, F.explode_outer(terms).alias("term"))
         .filter("term IS NOT NULL")
         .groupBy(key, "term")
         .agg(F.count("*").alias("tf"))
@@ -105,9 +106,9 @@ def venue_last_mention(
     spots = []
     for n in range(1, max_words + 1):
         spots.append(
-            words.select(key, F.posexplode(ngrams(F.col("words"), n)).alias("pos", "term")).select(
-                key, "term", (F.col("pos") + (n - 1)).alias("pos")
-            )
+            words.select(key, F.posexplode_outer(ngrams(F.col("words"), n)).alias("pos", "term"))
+            .filter("term IS NOT NULL")
+            .select(key, "term", (F.col("pos") + (n - 1)).alias("pos"))
         )
     places = spots[0]
     for more in spots[1:]:

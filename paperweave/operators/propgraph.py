@@ -45,14 +45,22 @@ def edge(kind: str, src: Column, dst: Column, **properties: Column) -> Column:
     )
 
 
-def node_rows(df: DataFrame, *nodes: Column) -> DataFrame:
-    """All node rows of a table from one scan; rows without identity are left out."""
-    return df.select(F.explode(F.array(*nodes)).alias("n")).select("n.*").filter("id IS NOT NULL")
+def _rows(df: DataFrame, items: tuple[Column, ...], per_value: Column | None) -> DataFrame:
+    fixed = F.array(*items)
+    return df.select(F.explode(fixed if per_value is None else F.concat(fixed, per_value)).alias("r")).select("r.*")
 
 
-def edge_rows(df: DataFrame, *edges: Column) -> DataFrame:
-    rows = df.select(F.explode(F.array(*edges)).alias("e")).select("e.*")
-    return rows.filter("src IS NOT NULL AND dst IS NOT NULL")
+def node_rows(df: DataFrame, *nodes: Column, per_value: Column | None = None) -> DataFrame:
+    """All node rows of a table from one scan; rows without identity are left out.
+
+    ``per_value`` is an array of further nodes, one per value of a cell.
+    """
+    return _rows(df, nodes, per_value).filter("id IS NOT NULL")
+
+
+def edge_rows(df: DataFrame, *edges: Column, per_value: Column | None = None) -> DataFrame:
+    """All edge rows of a table from one scan; edges missing an end are left out."""
+    return _rows(df, edges, per_value).filter("src IS NOT NULL AND dst IS NOT NULL")
 
 
 def merge_nodes(*frames: DataFrame) -> DataFrame:
@@ -66,20 +74,19 @@ def merge_edges(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).distinct()
 
 
-def match_both(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges whose two ends both exist as nodes."""
-    ids = nodes.select("id")
+def match_both(edges: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """Edges whose two ends exist: ``src`` among ``sources``, ``dst`` among ``targets``."""
     return (
         edges.distinct()
-        .join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-        .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        .join(sources.select(F.col("id").alias("src")), "src", "left_semi")
+        .join(targets.select(F.col("id").alias("dst")), "dst", "left_semi")
         .select(edges.columns)
     )
 
 
-def match_source(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def match_source(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Edges whose source exists; the other end is created by the caller."""
-    ids = nodes.select(F.col("id").alias("src"))
+    ids = sources.select(F.col("id").alias("src"))
     return edges.distinct().join(ids, "src", "left_semi").select(edges.columns)
 
 

@@ -91,15 +91,17 @@ def load_journals(journals: DataFrame) -> Load:
 def _load_papers(papers: DataFrame, venue_label: str, venue: dict[str, Column]) -> Load:
     paper = node_id("Paper", F.col("key"))
     abstract = {"abstract": F.col("abstract")} if "abstract" in papers.columns else {}
-    mentions = papers.select("key", F.explode(split_cell("keywords")).alias("keyword"))
-    keyword = F.col("keyword")
+    words = F.coalesce(split_cell("keywords"), F.array().cast("array<string>"))
     nodes = node_rows(
         papers,
         node("Paper", {"key": F.col("key")}, title=F.col("title"), year=to_year("year"), **abstract),
         node(venue_label, venue),
-    ).unionByName(node_rows(mentions, node("Keyword", {"name": keyword})))
-    edges = edge_rows(papers, edge("HAS", _id(venue_label, venue), paper)).unionByName(
-        edge_rows(mentions, edge("MENTIONS", paper, node_id("Keyword", keyword)))
+        per_value=F.transform(words, lambda w: node("Keyword", {"name": w})),
+    )
+    edges = edge_rows(
+        papers,
+        edge("HAS", _id(venue_label, venue), paper),
+        per_value=F.transform(words, lambda w: edge("MENTIONS", paper, node_id("Keyword", w))),
     )
     return Load(nodes, edges)
 
@@ -131,21 +133,34 @@ def load_places(venues: DataFrame) -> Load:
     )
 
 
-def load_authors(lead: DataFrame, coauthors: DataFrame) -> Load:
-    """Author –WRITES{is_lead}→ Paper; papers not loaded yet become key-only nodes."""
-    rows = lead.select("key", "author", F.lit(True).alias("is_lead")).unionByName(
-        coauthors.select("key", "author", F.lit(False).alias("is_lead"))
-    )
+def load_authorship(authors: DataFrame) -> Load:
+    """Author –WRITES{is_lead}→ Paper from ``key, author, is_lead``.
+
+    Papers not loaded yet become key-only nodes.
+    """
     key, author = F.col("key"), F.col("author")
     return Load(
-        node_rows(rows, node("Paper", {"key": key}), node("Author", {"name": author})),
+        node_rows(authors, node("Paper", {"key": key}), node("Author", {"name": author})),
         edge_rows(
-            rows,
+            authors,
             edge("WRITES", node_id("Author", author), node_id("Paper", key), is_lead=F.col("is_lead")),
         ),
     )
 
 
+def load_authors(lead: DataFrame, coauthors: DataFrame) -> Load:
+    """The same from separate ``key, author`` tables of lead and co-authors."""
+    return load_authorship(
+        lead.select("key", "author", F.lit(True).alias("is_lead")).unionByName(
+            coauthors.select("key", "author", F.lit(False).alias("is_lead"))
+        )
+    )
+
+
+def _ends(nodes: DataFrame, *labels: str) -> list[DataFrame]:
+    return [nodes.filter(F.col("label") == label).select("id") for label in labels]
+
+
 def _review_rows(reviews: DataFrame, **properties: Column) -> DataFrame:
     rows = reviews.withColumn("reviewer", F.explode(split_cell("reviewer")))
     return edge_rows(
@@ -156,7 +171,7 @@ def _review_rows(reviews: DataFrame, **properties: Column) -> DataFrame:
 
 def review_edges(reviews: DataFrame, nodes: DataFrame) -> DataFrame:
     """Author –REVIEWS→ Paper where both exist."""
-    return match_both(_review_rows(reviews), nodes)
+    return match_both(_review_rows(reviews), *_ends(nodes, "Author", "Paper"))
 
 
 def evolve_reviews(
@@ -167,7 +182,7 @@ def evolve_reviews(
         reviews, decision=F.lit(decision), textual_description=F.col("textual_description")
     )
     old = edges.filter(F.col("type") == "REVIEWS")
-    return set_edge_properties(old, match_both(rows, nodes), ["decision", "textual_description"])
+    return set_edge_properties(old, match_both(rows, *_ends(nodes, "Author", "Paper")), ["decision", "textual_description"])
 
 
 def citation_edges(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -175,7 +190,7 @@ def citation_edges(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = edge_rows(
         pairs, edge("CITED_BY", node_id("Paper", F.col("cite")), node_id("Paper", F.col("id")))
     )
-    return match_both(rows, nodes)
+    return match_both(rows, *_ends(nodes, "Paper", "Paper"))
 
 
 def affiliation_load(affiliations: DataFrame, nodes: DataFrame) -> Load:
@@ -185,4 +200,4 @@ def affiliation_load(affiliations: DataFrame, nodes: DataFrame) -> Load:
         affiliations,
         edge("IS_AFFILIATED_TO", node_id("Author", F.col("author")), node_id("Organization", org)),
     )
-    return Load(node_rows(affiliations, node("Organization", {"name": org})), match_source(rows, nodes))
+    return Load(node_rows(affiliations, node("Organization", {"name": org})), match_source(rows, *_ends(nodes, "Author")))
