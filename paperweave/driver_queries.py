@@ -358,10 +358,12 @@ def load_places(spark, sf):
 
 
 def _graph(spark, sf) -> pg.Load:
-    loads = _loads(spark, sf, *LOADS)
-    nodes = rel.union_all([x.nodes for x in loads])
-    known = nodes.filter(F.col("label") == "Author").select("label", "id").distinct()
-    affiliated = affiliations(spark, sf).withColumnRenamed("organization", "affiliation")
+    papers = views.stored_papers(spark, sf)
+    loads = [_load(n, papers, spark, sf) for n in LOADS]
+    authors = cut_lineage(rel.authorship(papers).select("author").distinct())
+    known = authors.select(F.lit("Author").alias("label"), pg.node_id("Author", F.col("author")).alias("id"))
+    drawn = assign_affiliations(authors, views.bibliography(spark, sf, "organizations"))
+    affiliated = drawn.withColumnRenamed("organization", "affiliation")
     return pg.assemble(*loads, pg.affiliation_load(affiliated, known))
 
 

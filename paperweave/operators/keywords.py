@@ -113,10 +113,10 @@ def venue_last_mention(
     places = spots[0]
     for more in spots[1:]:
         places = places.unionByName(more)
-    # Only the last place of each term matters: one row per term goes to the join.
-    last = places.groupBy(key, "term").agg(F.max("pos").alias("pos")).join(names, "term")
+    # The gazetteer join drops almost all words, so it comes before any grouping.
+    hits = places.join(names, "term")
     at = F.struct("pos", F.length("term").alias("len"), "term")
-    found = last.groupBy(key).agg(
+    found = hits.groupBy(key).agg(
         F.max(F.when(F.col("kind") == "city", at)).alias("city"),
         F.max(F.when(F.col("kind") == "country", at)).alias("country"),
     )

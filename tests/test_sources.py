@@ -6,15 +6,15 @@ from paperweave.sources import delimited, graph_files
 from paperweave.sources import xml_records as xml
 
 DUMP = """<?xml version="1.0"?>
-<!DOCTYPE dblp SYSTEM "x.dtd">
-<dblp>
+<!DOCTYPE dump SYSTEM "x.dtd">
+<dump>
 <!-- <article key="no"><title>commented</title></article> -->
  <article key="a/1" mdate="2020-01-02"><author orcid="1">Ann B</author><author>Cy D</author>
   <title>T <i>x</i> y</title><year>2001</year><cite>b/2</cite><cite>...</cite></article>
  <book key='k>1'><title>Caf&#233; &amp; R&#x26;D &uuml; &nope;</title><note/><ee type="x"></ee></book>
  <article key="b/2"><author>Z</author><title><![CDATA[a < b & c]]></title></article>
  <article><title/></article>
-</dblp>
+</dump>
 """
 
 
