@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_UPPER
+from ..session import scratch_path
+from . import decontam, lang_id, packing, quality, token_counts, token_index, url_filter, warc
+from .common import ASCII_UPPER, draw
+from .exact_dedup import exact_duplicates
 from .near_dup import near_duplicates
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -17,6 +29,60 @@ def near_dup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), shingle_words=2, percent=80)
 
 
+def warc_archive(spark, sf):
+    pages = table(spark, sf, "pages")
+    folder = scratch_path(spark, "warc")
+    payload = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
+    warc.write_archive(warc.revisits(pages, "page_id", payload), folder)
+    return warc.payloads(warc.read_chunks(spark, folder)).withColumnRenamed("key", "page_id")
+
+
+def exact_dedup(spark, sf):
+    return exact_duplicates(table(spark, sf, "documents"))
+
+
+def quality_classifier(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    known = labels.filter(draw(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return quality.score(docs, quality.train(docs, known)).select(
+        "doc_id", (draw(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    models = lang_id.train(docs.filter(draw(F.col("doc_id"), 3) != 1))
+    return lang_id.predict(docs, models).withColumn("held_out", draw(F.col("doc_id"), 3) == 1)
+
+
+def token_ids(spark, sf):
+    docs = table(spark, sf, "documents")
+    index, folder = token_index.token_index(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    found = token_index.lookup(token_index.document_keys(docs), index)
+    return token_index.read_ids(found, folder).select(
+        F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def decontamination(spark, sf):
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def packed(spark, sf):
+    pieces = packing.token_pieces(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digests).withColumn("length", F.col("length").cast("long"))
+
+
+def url_filters(spark, sf):
+    return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+def counted_tokens(spark, sf):
+    counts = token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 LOWER = f"translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')"
 
 NEAR_DUP_SQL = rf"""
@@ -37,5 +103,30 @@ SELECT n.doc_id, n.n AS n_shingles, min(b) AS component_id, min(b) = n.doc_id AS
 FROM n JOIN reach ON a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
-QUERIES = {"op1_minhash_near_dedup": near_dup}
-ORACLES = {"op1_minhash_near_dedup": NEAR_DUP_SQL}
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS f FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN f <> page_id THEN f END AS refers_to FROM f
+"""
+
+EXACT_SQL = f"""
+WITH t AS (SELECT doc_id, {LOWER} AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM t JOIN g USING (t)
+"""
+
+QUERIES = {
+    "op1_minhash_near_dedup": near_dup,
+    "op2_warc": warc_archive,
+    "op3_exact_dedup": exact_dedup,
+    "op4_quality_classifier": quality_classifier,
+    "op5_language_id": language_id,
+    "op6_token_ids": token_ids,
+    "op7_decontamination": decontamination,
+    "op8_best_fit_packing": packed,
+    "op9_url_filters": url_filters,
+    "op10_token_counts": counted_tokens,
+}
+ORACLES = {"op1_minhash_near_dedup": NEAR_DUP_SQL, "op2_warc": WARC_SQL, "op3_exact_dedup": EXACT_SQL}
