@@ -99,3 +99,10 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(width):
         folded = mixed(folded * MIX + hashes[k : n - width + 1 + k])
     return np.unique(folded)
+
+
+def without(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` less the ids of which no row of ``decisions(id, kept)`` is kept; null is an id like others."""
+    rows = decisions.groupBy(F.col(id_col).alias("_dropped")).agg(F.max("kept").alias("_kept"))
+    dropped = stored(rows.filter("not _kept").select("_dropped"), "dropped")
+    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")

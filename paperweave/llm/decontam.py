@@ -125,16 +125,10 @@ def overlaps(
     cut), so what a task holds is bounded whatever the benchmark's size. Null
     and empty texts overlap with nothing; an empty benchmark gives no row.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).dropna()
     schema = "id long, item long, start int, words int, agreeing int"
-    total = items.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    found = spark.createDataFrame([], schema)
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t").collect()  # block_words bounds it
-        shared = spark.sparkContext.broadcast(Index([(i, t.encode()) for i, t in part], least))
+    found = docs.sparkSession.createDataFrame([], schema)
+    for shared in _blocks(benchmark, item_col, item_text_col, least, block_words):
 
         def scan(rows, shared=shared):
             cache, index = Hashes(), shared.value
@@ -143,9 +137,44 @@ def overlaps(
                     yield identity, *match
 
         found = found.union(map_rows(texts, scan, schema))
-    return found.select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "words", "agreeing"
-    )
+    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "words", "agreeing")
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, least: int, block_words: int):
+    """The benchmark's index, block by block, as broadcasts of bounded size."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).dropna()
+    total = items.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
+    for block in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t")
+        listed = [(i, t.encode()) for i, t in part.collect()]  # about block_words words
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(listed, least))
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    overlap: int = 13,
+    share: float = 0.8,
+    least: int = 8,
+    block_words: int = 250_000,
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that overlap with no item; nothing is moved."""
+    for shared in _blocks(benchmark, item_col, item_text_col, least, block_words):
+
+        def passed(batches, shared=shared):
+            import pyarrow as pa
+
+            cache, index = Hashes(), shared.value
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+                yield batch.filter(pa.array([not index.overlaps(cache.of(t), overlap, share) for t in texts], pa.bool_()))
+
+        docs = docs.mapInArrow(passed, docs.schema)
+    return docs
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -1,7 +1,8 @@
 """Quality classifier: hashed word n-gram logistic regression, follow-the-regularised-leader.
 
 Features of a text are its words, pairs of words, word shapes (runs of letters as ``a`` or ``A``,
-of digits as ``0``, other signs as they are) and pairs of shapes, hashed to ``2**BITS`` places.
+of digits as ``0``, other signs as they are) and pairs of shapes, which also tell whether the two words
+are the same, hashed to ``2**BITS`` places.
 A place has the value count / sqrt(number of features), so a score is a sparse dot product.
 """
 
@@ -48,7 +49,8 @@ def features(text: bytes | None, cache: Shapes) -> list[np.ndarray]:
         part = words[max(0, start - 1) : start + SLICE]
         word = np.fromiter(map(cache.__getitem__, part), np.uint64, len(part))
         shape = word & np.uint64(LOW)
-        pairs = [x[:-1] * MIX + x[1:] * np.uint64(3) + np.uint64(k) for k, x in ((1, word), (2, shape))]
+        again = (word[:-1] == word[1:]).astype(np.uint64) << np.uint64(50)
+        pairs = [word[:-1] * MIX + word[1:] * np.uint64(3) + np.uint64(1), shape[:-1] * MIX + shape[1:] * np.uint64(3) + again]
         skip = 1 if start else 0
         out.append(_places(np.concatenate([word[skip:], shape[skip:] + np.uint64(1 << 40), *pairs])))
     return out
@@ -78,21 +80,22 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_rows: int = 16_000,
-    shards: int = 8,
-    epochs: int = 2,
-    rate: float = 0.2,
+    learner_rows: int = 4_000,
+    epochs: int = 3,
+    rate: float = 1.0,
     beta: float = 1.0,
-    l1: float = 0.2,
-    l2: float = 1.0,
+    l1: float = 0.01,
+    l2: float = 0.1,
 ) -> np.ndarray:
     """Weights learned from ``labels(id, label)``.
 
     ``max_rows`` bounds the labelled rows that are used (those with the smallest hash of the id); they are
-    dealt to ``shards`` learners whose weights are averaged. The model has a fixed size.
+    dealt to learners of about ``learner_rows`` rows whose weights are averaged. The model has a fixed size.
     Without labelled rows all weights are 0 and every score is 0.5. Null ids and labels are left out.
     """
     usable = labels.select(F.col("id").cast("long"), F.col("label").cast("int")).dropna()
     chosen = usable.withColumn("o", F.xxhash64("id")).orderBy("o", "id", "label").limit(max_rows)
+    shards = max(1, -(-chosen.count() // learner_rows))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).join(
         F.broadcast(chosen), "id"  # at most max_rows rows
     )
@@ -106,7 +109,7 @@ def train(
         for k in sorted(range(len(ids)), key=lambda k: (xxhash.xxh3_64_intdigest(str(ids[k])), label[k], text[k] or b"")):
             at, count = np.unique(np.concatenate([*features(text[k], cache), np.zeros(0, np.int64)]), return_counts=True)
             x = np.append(count / max(1.0, np.sqrt(count.sum())), 1.0)
-            examples.append((np.append(at, 1 << BITS), x, label[k]))
+            examples.append((np.append(at, 1 << BITS).astype(np.int32), x.astype(np.float32), label[k]))
         w = np.round(_ftrl(examples, rate, beta, l1, l2, epochs) * SCALE).astype(np.int64)
         at = np.flatnonzero(w)
         at = at if len(at) else np.array([1 << BITS])
@@ -119,17 +122,36 @@ def train(
     return weights.astype(np.float32)
 
 
+def probability(text: bytes | None, weights: np.ndarray, cache: Shapes) -> float:
+    total = n = 0
+    for places in features(text, cache):
+        total, n = total + float(weights[places].sum(dtype=np.float64)), n + len(places)
+    return float(1 / (1 + np.exp(-np.clip(total / max(1, n) ** 0.5 + weights[-1], -35, 35))))
+
+
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)`` for every row: the probability of label 1; null or wordless texts get the bias's."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def scores(rows):
-        cache, w = Shapes(), shared.value
+        cache = Shapes()
         for identity, text in rows:
-            total = n = 0
-            for places in features(text, cache):
-                total, n = total + float(w[places].sum(dtype=np.float64)), n + len(places)
-            yield identity, float(1 / (1 + np.exp(-np.clip(total / max(1, n) ** 0.5 + w[-1], -35, 35))))
+            yield identity, probability(text, shared.value, cache)
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     return map_rows(texts, scores, "id long, score double").withColumnRenamed("id", id_col)
+
+
+def keep(docs: DataFrame, weights: np.ndarray, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score is at least ``least``; nothing is moved."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def passed(batches):
+        import pyarrow as pa
+
+        cache = Shapes()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([probability(t, shared.value, cache) >= least for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(passed, docs.schema)
