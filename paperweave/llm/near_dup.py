@@ -149,8 +149,8 @@ def near_duplicates(
     are still in different components after that are all compared, block by block. So no
     link between sets that meet in a table is lost.
 
-    Null or wordless text: no shingles, linked with nothing, kept. Null id: the row cannot be named, so
-    it gets a null component and is kept. Rows with the same id count as one document: their
+    Null or wordless text: no shingles, linked with nothing, kept. Null id: the row cannot be named; it is
+    kept only where no row with an id has its set, and else carries that row's component. Rows with the same id count as one document: their
     sets share what they are linked with. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -211,7 +211,7 @@ def near_duplicates(
         F.col("id").alias(id_col),
         F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("top", "id").alias("component_id"),
-        F.coalesce(F.coalesce("top", "id") == F.col("id"), F.lit(True)).alias("kept"),
+        F.col("id").eqNullSafe(F.coalesce("top", "id")).alias("kept"),
     )
 
 

@@ -100,7 +100,7 @@ def build(high: np.ndarray, low: np.ndarray) -> tuple[list[int], bytes, np.ndarr
 
 
 def _spot(high: np.ndarray, low: np.ndarray, level: int) -> np.ndarray:
-    return mixed(low + high * np.uint64(2 * level + 1) + STEP * np.uint64(level))
+    return mixed(low + high * np.uint64(2 * level + 1) + np.uint64(int(STEP) * level % 2**64))
 
 
 def find(sizes: list[int], bitmap: bytes, high: np.ndarray, low: np.ndarray) -> np.ndarray:

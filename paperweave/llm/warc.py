@@ -46,12 +46,10 @@ def revisits(pages: DataFrame, id_col: str, payload: Column, least: int = 100) -
 
 
 def cuts(payload: bytes, chunk: int) -> list[tuple[int, int]]:
-    """Bounds of the segments of a payload: at most ``chunk`` bytes, none with an opening line inside."""
-    mark = OPENING.encode()
-    ends = {m.start() + 6 for m in re.finditer(re.escape(mark), payload)}  # between the blank line and the word
-    ends |= {m.start() for m in re.finditer(rb"WARC/1\.1\r\n", payload) if m.start()}
+    """Bounds of the segments of a payload: at most ``chunk`` bytes, none with ``WARC/1.1`` and a line end inside."""
+    ends = [m.start() + 2 for m in re.finditer(rb"WARC/1\.1\r\n", payload)]
     places, start = [], 0
-    for end in [*sorted(ends), len(payload)]:
+    for end in [*ends, len(payload)]:
         while start < end:
             stop = min(end, start + chunk)
             places.append((start, stop))
@@ -111,10 +109,8 @@ def read_chunks(spark, folder: str) -> DataFrame:
     size = field("length").cast("int")
     fits = (F.octet_length(whole) == size) | (F.octet_length(whole) == size + 4)  # the last of a file keeps its end
     body = F.when(fits, F.substring(whole, F.lit(1), size)).otherwise(F.raise_error(F.lit("a WARC record has another length than its header says")))
-    first = field("record_type") != "continuation"
     chunks = cut.select(*(field(n).alias(n) for n in FIELDS), body.alias("body"))
     payload = F.when(F.col("record_type") != "continuation", F.substring("body", F.lit(len(HTTP) + 1), F.octet_length("body"))).otherwise(F.col("body"))
-    del first
     return chunks.select(
         F.regexp_extract(F.coalesce("origin", "record_id"), r"record:(\d+):", 1).cast("long").alias("record"),
         F.coalesce(F.col("chunk").cast("int"), F.lit(1)).alias("chunk"),
