@@ -421,9 +421,11 @@ def _tbox_values() -> str:
 
 _TBOX = ("tbox", _tbox_values())
 _ALL = ("triples", "SELECT * FROM abox UNION SELECT * FROM tbox")
-_NAMED_TITLES = f"""SELECT n.o AS author, string_agg(DISTINCT t.o, ', ' ORDER BY t.o) AS titles
+_NAMED_TITLES = f"""SELECT author, part, string_agg(title, ', ' ORDER BY title) AS titles FROM (
+SELECT *, ((row_number() OVER (PARTITION BY author ORDER BY title) - 1) // 1000000)::INT AS part FROM (
+SELECT DISTINCT n.o AS author, t.o AS title
 FROM triples w JOIN triples t ON t.s = w.o AND t.p = '{NS}title' JOIN triples n ON n.s = w.s AND n.p = '{NS}name'
-WHERE w.p = '{NS}writes' {{more}} GROUP BY n.o"""
+WHERE w.p = '{NS}writes' {{more}})) GROUP BY author, part"""
 _BY_KEYWORD = f"""AND t.s IN (SELECT i.s FROM triples i JOIN triples r ON r.s = i.o AND r.p IN ('{NS}cRelatedTo', '{NS}jRelatedTo')
   JOIN triples k ON k.s = r.o AND k.p = '{NS}word' AND k.o = 'Brand#3' WHERE i.p = '{NS}isSubmittedTo')"""
 
@@ -460,8 +462,12 @@ ORACLES = {
     "project_distinct_notnull": "SELECT DISTINCT l_partkey, l_suppkey FROM (SELECT nullif(l_partkey, l_suppkey * 20) AS l_partkey, nullif(l_suppkey, 7) AS l_suppkey FROM lineitem) WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL",
     "lead_coauthor_split": _on_papers("SELECT key, author, is_lead FROM auth"),
     "trim_all": _on_papers("SELECT key, title, trim(year) AS year FROM papers"),
-    "coerce_year": _on_papers(f"""SELECT DISTINCT booktitle, {YEAR} AS year, 'drop' AS bad_year FROM papers WHERE booktitle IS NOT NULL AND {YEAR} IS NOT NULL
-        UNION ALL SELECT DISTINCT booktitle, {YEAR}, 'null' FROM papers WHERE booktitle IS NOT NULL"""),
+    "coerce_year": _on_papers(
+        f"""SELECT DISTINCT booktitle, {YEAR} AS year, 'drop' AS bad_year FROM odd WHERE booktitle IS NOT NULL AND {YEAR} IS NOT NULL
+        UNION ALL SELECT booktitle, {YEAR}, 'null' FROM (SELECT DISTINCT booktitle, year FROM odd WHERE booktitle IS NOT NULL AND year IS NOT NULL)""",
+        ("odd", """SELECT booktitle, CASE num % 6 WHEN 0 THEN year || 'd' WHEN 1 THEN ' ' || year || ' ' WHEN 2 THEN year || 'f'
+            WHEN 3 THEN year || '.0' ELSE year END AS year FROM papers"""),
+    ),
     "explode_multivalue": _on_papers("SELECT key, unnest(string_split(author, '|')) AS author FROM papers"),
     "implode_multivalue": f"SELECT doc_id, coalesce(array_to_string(list_sort({_words('text')}), '|'), '') AS cell FROM documents",
     "mint_iri": _on_papers(f"SELECT key, {_iri('key')} AS iri, {_iri('booktitle')} AS venue_iri FROM papers"),
@@ -476,7 +482,7 @@ ORACLES = {
     "assign_reviewers": _on_papers("SELECT key, reviewer, pick FROM ranked WHERE pick <= 3", *_ASSIGN),
     "union_all_authors": _on_papers("SELECT author, count(*) AS n FROM auth GROUP BY author"),
     "extract_conferences": _ctes(PAPERS, body=f"SELECT DISTINCT booktitle, {YEAR} AS year FROM papers WHERE record_type = 'inproceedings' AND booktitle IS NOT NULL AND {YEAR} IS NOT NULL"),
-    "extract_journals": _ctes(PAPERS, body=f"SELECT DISTINCT journal, volume, {YEAR} AS year FROM papers WHERE record_type = 'article' AND journal IS NOT NULL"),
+    "extract_journals": _ctes(PAPERS, body=f"SELECT journal, volume, {YEAR} AS year FROM (SELECT DISTINCT journal, volume, year FROM papers WHERE record_type = 'article' AND journal IS NOT NULL AND volume IS NOT NULL AND year IS NOT NULL)"),
     "extract_conference_papers": _ctes(PAPERS, ("cq", f"SELECT DISTINCT key, title, booktitle, {YEAR} AS year FROM papers WHERE record_type = 'inproceedings' AND booktitle IS NOT NULL"), *_keyword_ctes("cq", "key", "title"), body="SELECT cq.*, keywords FROM cq LEFT JOIN kw ON kw.k = cq.key"),
     "extract_journal_papers": _ctes(PAPERS, ("jq", f"SELECT DISTINCT key, title, journal, {YEAR} AS year, volume FROM papers WHERE record_type = 'article' AND journal IS NOT NULL"), *_keyword_ctes("jq", "key", "title"), body="SELECT jq.*, keywords FROM jq LEFT JOIN kw ON kw.k = jq.key"),
     "extract_venues": _ctes(*BASE, *_VENUES, _PLACES, body="SELECT * FROM places"),
@@ -510,6 +516,7 @@ ORACLES = {
     "graph_max_value": _ctes(_MONEY, body="SELECT max(value) AS max_value FROM money"),
     "graph_max_reach": _MAX_REACH,
     "sssp_cost": _SSSP,
+    "sssp_cost_fractional": f"SELECT id, dist / 8.0::DOUBLE AS dist FROM ({_SSSP})",
     "sssp_path": _PATHS,
     "pagerank_all": _PAGERANK,
     "pagerank_top": f"SELECT * FROM ({_PAGERANK}) ORDER BY pagerank DESC, id LIMIT 10",

@@ -163,9 +163,14 @@ def trim_all(spark, sf):
 
 
 def coerce_year(spark, sf):
-    columns = ["booktitle", "year"]
-    drop = rel.coerce_year(_papers(spark, sf), columns, bad_year="drop")
-    null = rel.coerce_year(_papers(spark, sf), columns, bad_year="null")
+    """Years as written, with a suffix, with blanks, and unreadable in two ways."""
+    odd = F.expr(
+        "CASE num % 6 WHEN 0 THEN year || 'd' WHEN 1 THEN ' ' || year || ' ' WHEN 2 THEN year || 'f' "
+        "WHEN 3 THEN year || '.0' ELSE year END"
+    )
+    columns, papers = ["booktitle", "year"], _papers(spark, sf).withColumn("year", odd)
+    drop = rel.coerce_year(papers, columns, bad_year="drop")
+    null = rel.coerce_year(papers, columns, bad_year="null")
     return drop.withColumn("bad_year", F.lit("drop")).unionByName(null.withColumn("bad_year", F.lit("null")))
 
 
@@ -455,7 +460,7 @@ def triplet_rows(spark, sf):
 
 
 def graph_max(spark, sf):
-    return graph_max_value(views.trade_vertices(spark, sf), views.trade_edges(spark, sf))
+    return graph_max_value(views.trade_vertices(spark, sf))
 
 
 def graph_max_reach(spark, sf):
@@ -466,6 +471,11 @@ def sssp_cost(spark, sf):
     return shortest_costs(views.trade_edges(spark, sf), SOURCE)
 
 
+def sssp_cost_fractional(spark, sf):
+    edges = views.trade_edges(spark, sf).withColumn("weight", F.col("weight") / F.lit(8.0))
+    return shortest_costs(edges, SOURCE)
+
+
 def sssp_path(spark, sf):
     return render_paths(shortest_paths(views.trade_edges(spark, sf), SOURCE))
 
@@ -525,11 +535,11 @@ def abox(spark, sf):
 
 
 def author_title_cells(spark, sf):
-    return author_titles(_triples(spark, sf), NS).select("author", "titles")
+    return author_titles(_triples(spark, sf), NS).select("author", "part", "titles")
 
 
 def author_title_cells_by_keyword(spark, sf):
-    return author_titles(_triples(spark, sf), NS, keyword="Brand#3").select("author", "titles")
+    return author_titles(_triples(spark, sf), NS, keyword="Brand#3").select("author", "part", "titles")
 
 
 QUERIES = {
@@ -588,6 +598,7 @@ QUERIES = {
     "graph_max_value": graph_max,
     "graph_max_reach": graph_max_reach,
     "sssp_cost": sssp_cost,
+    "sssp_cost_fractional": sssp_cost_fractional,
     "sssp_path": sssp_path,
     "pagerank_top": pagerank_top,
     "pagerank_all": pagerank_all,

@@ -12,6 +12,8 @@ CELL_SEPARATOR = "|"
 # The characters an IRI segment may not keep.
 IRI_UNSAFE = string.punctuation + " "
 
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -23,9 +25,9 @@ def strip(column: str | Column) -> Column:
 
 
 def to_year(column: str | Column) -> Column:
-    """Whole number from text, null where the text is no number."""
-    number = strip(col(column).cast("string")).try_cast("double")
-    return number.try_cast("int")
+    """Whole number from text, null where the text is no plain number."""
+    text = strip(col(column).cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("int"))
 
 
 def split_cell(column: str | Column, separator: str = CELL_SEPARATOR) -> Column:

@@ -54,8 +54,3 @@ def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
     joined = edges.join(side("src"), "src").join(side("dst"), "dst")
     return joined.select(*edges.columns, *[c for c in joined.columns if c not in edges.columns])
-
-
-def parallel_min(edges: DataFrame, weight: str = "weight") -> DataFrame:
-    """Collapse parallel edges to their cheapest weight."""
-    return edges.groupBy("src", "dst").agg(F.min(weight).alias(weight))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import CELL_SEPARATOR, col
+from ..session import cut_lineage
 
 # Frequent function words that are never keywords.
 STOP_WORDS = [
@@ -77,7 +78,10 @@ def keywords_topk(
         .groupBy(key, "term")
         .agg(F.count("*").alias("tf"))
     )
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # Written once: the counts are read for the statistics and for the scores, and
+    # a join of two written tables can split a term that nearly every text has.
+    tf = cut_lineage(tf)
+    df = cut_lineage(tf.groupBy("term").agg(F.count("*").alias("df")))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df")))
     listed = F.col("term").isin(vocabulary) if vocabulary else F.lit(False)
     scored = tf.join(df, "term").select(

@@ -10,15 +10,12 @@ from .graph import endpoints
 from .pregel import PartitionedEdges
 
 
-# Rounds chained into one job before the lineage is cut.
-ROUNDS_PER_JOB = 1
-
-
 def pagerank_sweep(
     edges: DataFrame,
     reset_probs: list[float],
     max_iters: list[int],
     vertices: DataFrame | None = None,
+    rounds_per_job: int = 5,
 ) -> DataFrame:
     """``id, reset_prob, max_iter, pagerank`` for the whole parameter grid.
 
@@ -26,7 +23,8 @@ def pagerank_sweep(
     one run of ``max(max_iters)`` rounds: per round one join without a shuffle
     and one shuffle of partially summed contributions.  Ranks start at 1 and
     the result is scaled so that they sum to the number of vertices.  Parallel
-    edges count.
+    edges count.  ``rounds_per_job`` rounds form one job, at whose end the ranks
+    are checkpointed; a round reads the one before once, so nothing is computed twice.
     """
     parts = shuffle_partitions(edges.sparkSession)
     laid_out = PartitionedEdges(edges.select("src", "dst"))
@@ -58,7 +56,7 @@ def pagerank_sweep(
                     for n, p in zip(names, reset_probs)
                 ],
             )
-            if i in max_iters or i % ROUNDS_PER_JOB == 0:
+            if i in max_iters or i % rounds_per_job == 0:
                 ranks = cut_lineage(ranks)
             if i in max_iters:
                 snapshots[i] = ranks

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cells import is_lead_author, split_cell, strip, to_year
+from ..session import cut_lineage, shuffle_partitions
 
 
 def project_distinct_notnull(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -32,13 +33,14 @@ def coerce_year(
     """Distinct complete rows with ``year`` as a number.
 
     ``bad_year='drop'`` reads the year first, so rows with an unreadable one
-    vanish; ``'null'`` drops incomplete rows first and keeps bad years as null.
+    vanish; ``'null'`` takes the distinct complete rows as they are written and
+    then reads the year, so differently written years stay apart as rows.
     """
     if bad_year == "drop":
         return project_distinct_notnull(df.withColumn(year, to_year(year)), columns)
     if bad_year == "null":
         complete = df.select(*columns).dropna("any")
-        return complete.withColumn(year, to_year(year)).distinct()
+        return complete.distinct().withColumn(year, to_year(year))
     raise ValueError("bad_year must be 'drop' or 'null'")
 
 
@@ -105,8 +107,15 @@ def citation_counts(pairs: DataFrame, key: str = "key", cite: str = "cite") -> D
 
 
 def right_outer_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Every right row, with left columns null where nothing matches."""
-    return left.join(right, on, "right")
+    """Every right row, with left columns null where nothing matches.
+
+    Matches and rows without one are joined apart: in an inner join a key with
+    very many left rows can be split, or met by a broadcast of the right side.
+    """
+    keys = [on] if isinstance(on, str) else on
+    matched = left.join(right, keys)
+    alone = right.join(left.select(*keys), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def venue_of_publication(
@@ -133,35 +142,25 @@ def concat_values(
     group: str,
     value: str,
     separator: str = ", ",
-    max_values: int = 1_000_000,
-    slices: int = 64,
+    values_per_part: int = 1_000_000,
 ) -> DataFrame:
     """``group, part, values``: the distinct values of each group as sorted text.
 
-    A group with at most ``max_values`` values is one row, part 0.  A larger
-    one is spread over numbered parts by value hash, so that no task ever holds
-    a whole hot group; nothing is left out.
+    Values are numbered within their group in sorted order; part i holds the
+    numbers from ``i * values_per_part`` on, so parts follow each other and joining
+    them in order gives the whole text.  Sorting is by ranges of (group, value):
+    a group of any size spreads over as many tasks as it needs, and a
+    number is a position within a range plus the sizes of the group's ranges before.
     """
-    slice_no = F.pmod(F.xxhash64(value), F.lit(slices)).cast("int")
-    distinct = df.select(group, value, slice_no.alias("slice")).dropna("any").distinct()
-    sizes = distinct.groupBy(group, "slice").agg(F.count("*").alias("n"))
-    totals = (
-        sizes.groupBy(group)
-        .agg(F.sum("n").alias("total"))
-        .filter(F.col("total") > max_values)
-        .select(group, F.ceil(F.col("total") / F.lit(max_values)).cast("int").alias("parts"))
-    )
-    # Few groups are that large: the list holds at most rows / max_values of them.
-    spread = F.pmod(F.xxhash64(F.lit("part"), F.col(value)), F.coalesce("parts", F.lit(1)))
-    numbered = distinct.join(totals, group, "left").withColumn("part", spread.cast("int"))
+    parts = shuffle_partitions(df.sparkSession)
+    distinct = df.select(group, value).dropna("any").distinct()
+    ranged = cut_lineage(distinct.repartitionByRange(parts, group, value).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # A group has at most one row of sizes for each range.
+    offsets = cut_lineage(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    inside = F.row_number().over(Window.partitionBy(group, "_range").orderBy(value)) - 1
+    numbered = ranged.withColumn("_at", inside).join(offsets, [group, "_range"])
+    part = F.floor((F.col("_before") + F.col("_at")) / F.lit(values_per_part)).cast("int")
     text = F.array_join(F.array_sort(F.collect_list(value)), separator)
-    return numbered.groupBy(group, "part").agg(text.alias("values"))
-
-
-def replace_value(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Whole-cell replacement in all string columns."""
-    return df.replace(old, new)
-
-
-def constant(df: DataFrame, name: str, value: object | Column) -> DataFrame:
-    return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
+    return numbered.groupBy(group, part.alias("part")).agg(text.alias("values"))

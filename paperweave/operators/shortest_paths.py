@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage, keep
 from .graph import endpoints
@@ -18,6 +19,16 @@ def _check_weights(edges: DataFrame, weight: str, max_iter: int | None) -> None:
             raise ValueError("negative weights need max_iter: a negative cycle never converges")
 
 
+def _cost_type(edges: DataFrame, weight: str) -> T.DataType:
+    """The type costs are summed and compared in: as wide as the weights' kind allows."""
+    kind = edges.schema[weight].dataType
+    if isinstance(kind, T.IntegralType):
+        return T.LongType()
+    if isinstance(kind, T.FractionalType):
+        return T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else T.DoubleType()
+    raise TypeError(f"weights must be numbers, not {kind.simpleString()}")
+
+
 def shortest_costs(
     edges: DataFrame,
     source,
@@ -25,16 +36,20 @@ def shortest_costs(
     vertices: DataFrame | None = None,
     max_iter: int | None = None,
 ) -> DataFrame:
-    """``id, dist``: cheapest cost from ``source``; null where it cannot reach."""
-    laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast("long").alias("w")))
+    """``id, dist``: cheapest cost from ``source``; null where it cannot reach.
+
+    Costs keep the kind of the weights: whole, decimal or floating.
+    """
+    kind = _cost_type(edges, weight)
+    laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast(kind).alias("w")))
     _check_weights(laid_out.edges, "w", max_iter)
     ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
     is_source = F.col("id") == F.lit(source)
     found = pregel(
-        ids.select("id", F.when(is_source, F.lit(0)).cast("long").alias("dist")),
+        ids.select("id", F.when(is_source, F.lit(0)).cast(kind).alias("dist")),
         laid_out,
         start=is_source,
-        message=F.col("src.dist") + F.col("edge.w"),
+        message=(F.col("src.dist") + F.col("edge.w")).cast(kind),
         merge=F.min,
         accept=F.col("state.dist").isNull() | (F.col("msg") < F.col("state.dist")),
         update={"dist": F.col("msg")},
@@ -59,20 +74,21 @@ def shortest_paths(
     parent link, so zero-weight edges cannot close a cycle.  Paths are then
     assembled by pointer doubling, in log2(longest path) joins.
     """
-    laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast("long").alias("w")))
+    kind = _cost_type(edges, weight)
+    laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast(kind).alias("w")))
     _check_weights(laid_out.edges, "w", max_iter)
     ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
     is_source = F.col("id") == F.lit(source)
-    zero = F.when(is_source, F.lit(0)).cast("long")
+    zero = F.when(is_source, F.lit(0))
     better = (F.col("msg.dist") < F.col("state.dist")) | (
         (F.col("msg.dist") == F.col("state.dist")) & (F.col("msg.hops") < F.col("state.hops"))
     )
     step = F.struct(
-        (F.col("src.dist") + F.col("edge.w")).alias("dist"), (F.col("src.hops") + 1).alias("hops")
+        (F.col("src.dist") + F.col("edge.w")).cast(kind).alias("dist"), (F.col("src.hops") + 1).alias("hops")
     )
     state = keep(
         pregel(
-            ids.select("id", zero.alias("dist"), zero.alias("hops")),
+            ids.select("id", zero.cast(kind).alias("dist"), zero.cast("long").alias("hops")),
             laid_out,
             start=is_source,
             message=step,
@@ -88,7 +104,7 @@ def shortest_paths(
         .select(
             F.col("edge.dst").alias("id"),
             F.struct(
-                (F.col("src.dist") + F.col("edge.w")).alias("dist"),
+                (F.col("src.dist") + F.col("edge.w")).cast(kind).alias("dist"),
                 (F.col("src.hops") + 1).alias("hops"),
                 F.col("src.id").alias("parent"),
             ).alias("offer"),

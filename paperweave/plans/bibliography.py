@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cells import to_year
 from ..functions.value_types import infer_column_types, typed_headers
 from ..operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize, reviewer_cells
 from ..operators.keywords import keywords_topk, venue_last_mention
@@ -22,7 +21,7 @@ from ..operators.relational import (
 from ..session import cut_lineage
 from ..sources.xml_records import discover_columns, long_cells, read_xml_records, wide_table
 
-REVIEW_TEXT = "This is a random review of your paper"
+REVIEW_TEXT = "Reviewer drawn at random; no remarks."
 
 
 def extract_conferences(records: DataFrame) -> DataFrame:
@@ -80,10 +79,6 @@ def authors_affiliation(
     )
 
 
-def with_year(records: DataFrame, year: str = "year") -> DataFrame:
-    return records.withColumn(year, to_year(year))
-
-
 @dataclass
 class XmlTables:
     """Typed tables of an XML dump."""

@@ -45,6 +45,42 @@ def test_xml_cells(spark, tmp_path):
         assert by_key["k>1"] == ("book", {"key": ["k>1"], "title": ["Café & R&D ü &nope;"]})
 
 
+def test_self_closing_and_nested_names(spark, tmp_path):
+    text = (
+        '<r><article key="x"/><article key="y"><title>Y</title></article><book key="z" note="a>b" />'
+        '<article key="w"><book>nested</book><title>&#x0000041;&#000066;</title></article><article/></r>'
+    )
+    (tmp_path / "odd.xml").write_text(text)
+    found = [(r["record_type"], cells(r)) for r in xml.read_xml_records(spark, str(tmp_path / "odd.xml"), ["article", "book"]).collect()]
+    assert sorted(found, key=str) == sorted([
+        ("article", {"key": ["x"]}), ("article", {"key": ["y"], "title": ["Y"]}),
+        ("book", {"key": ["z"], "note": ["a>b"]}), ("article", {"key": ["w"], "book": ["nested"], "title": ["AB"]}),
+    ], key=str)
+
+
+def test_cut_records_fail_instead_of_vanishing(spark, tmp_path):
+    text = "<r>" + "<book><t>b</t></book>" * 5 + '<article key="w"><book>nested</book></article></r>'
+    (tmp_path / "cut.xml").write_text(text)
+    try:
+        xml.read_xml_records(spark, str(tmp_path / "cut.xml"), ["article", "book"]).collect()
+    except Exception as error:
+        assert "cut in two" in str(error)
+    else:
+        raise AssertionError("a record was lost")
+    whole = xml.read_xml_records(spark, str(tmp_path / "cut.xml"), ["article", "book"], separator="</article>")
+    assert whole.count() == 6
+
+
+def test_a_rare_type_makes_no_large_chunk(spark, tmp_path):
+    text = "<r>" + "".join(f'<article key="{i}"><t>y</t></article>' for i in range(4000)) + '<book key="b"><t>z</t></book></r>'
+    (tmp_path / "rare.xml").write_text(text)
+    assert xml._commonest_end(spark, str(tmp_path / "rare.xml"), "article|book") == "article"
+    chunks = spark.read.option("lineSep", "</article>").text(str(tmp_path / "rare.xml"))
+    assert chunks.agg(F.max(F.length("value"))).first()[0] < 100
+    found = xml.read_xml_records(spark, str(tmp_path / "rare.xml"), ["book", "article"]).groupBy("record_type").count()
+    assert {tuple(r) for r in found.collect()} == {("article", 4000), ("book", 1)}
+
+
 def test_split_reads_lose_nothing(spark, tmp_path):
     text = "<r>" + "".join(f'<article key="{i}"><t>{"x" * (i % 50)}y</t></article>' for i in range(5000)) + "</r>"
     (tmp_path / "big.xml").write_text(text)

@@ -3,6 +3,7 @@ import collections
 from pyspark.sql import functions as F
 
 from paperweave.functions import cells
+from paperweave.functions.cells import to_year
 from paperweave.operators import relational as rel
 from paperweave.operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize, reviewer_cells
 from paperweave.operators.keywords import keywords_topk, venue_last_mention
@@ -45,13 +46,33 @@ def test_citation_operators(spark, rows):
     assert rows(rel.citation_subset(records, pairs), "key") == [("a",), ("b",), ("c",)]
 
 
-def test_concat_values_splits_hot_groups_without_loss(spark):
-    data = [("hot", f"v{i:03}") for i in range(300)] + [("small", "b"), ("small", "a"), ("small", "a")]
-    df = spark.createDataFrame(data, "g string, v string")
-    found = rel.concat_values(df, "g", "v", separator=",", max_values=100, slices=4).collect()
-    assert [r["values"] for r in found if r["g"] == "small"] == ["a,b"]
-    hot = [r["values"].split(",") for r in found if r["g"] == "hot"]
-    assert len(hot) == 3 and sorted(v for part in hot for v in part) == [f"v{i:03}" for i in range(300)]
+def test_concat_values_gives_consecutive_parts(spark):
+    data = [("hot", f"v{i:03}") for i in range(300)] + [("small", "b"), ("small", "a"), ("small", "a"), ("none", None)]
+    df = spark.createDataFrame(data, "g string, v string").repartition(5)
+    for size in (1, 7, 100, 1000):
+        found = rel.concat_values(df, "g", "v", separator=",", values_per_part=size).collect()
+        for group, want in (("small", ["a", "b"]), ("hot", [f"v{i:03}" for i in range(300)])):
+            parts = sorted((r["part"], r["values"]) for r in found if r["g"] == group)
+            assert [p for p, _ in parts] == list(range(-(-len(want) // size)))
+            assert ",".join(v for _, v in parts) == ",".join(want)
+            assert all(len(v.split(",")) == size for _, v in parts[:-1])
+        assert {r["g"] for r in found} == {"small", "hot"}
+
+
+def test_year_needs_a_plain_number(spark):
+    cases = {"2001": 2001, " 2001 ": 2001, "2001.0": 2001, "2001d": None, "2001f": None, "0x7D1": None, "1e3": 1000, "NaN": None, "": None, None: None}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "y string, want int")
+    assert df.filter(~F.col("want").eqNullSafe(to_year("y"))).count() == 0
+    raw = spark.createDataFrame([("b", "2001"), ("b", " 2001 "), ("b", "x"), ("b", "y"), ("b", "y")], "b string, year string")
+    assert sorted(r["year"] or 0 for r in rel.coerce_year(raw, ["b", "year"]).collect()) == [0, 0, 2001, 2001]
+    assert [r["year"] for r in rel.coerce_year(raw, ["b", "year"], bad_year="drop").collect()] == [2001]
+
+
+def test_right_outer_join_keeps_every_right_row(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "d")], "k long, v string")
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k long, w string")
+    found = {tuple(r) for r in rel.right_outer_join(left, right, "k").select("k", "v", "w").collect()}
+    assert found == {(1, "a", "x"), (1, "b", "x"), (2, None, "y"), (None, None, "z")}
 
 
 def test_lookup_with_hot_key_equals_join(spark, rows):
