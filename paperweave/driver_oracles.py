@@ -47,25 +47,25 @@ def _words(text: str) -> str:
     return f"list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{Nd}}]+'), lambda w: w <> '')"
 
 
-def _keyword_ctes(source: str, key: str, text: str) -> list[tuple[str, str]]:
+def _keyword_ctes(source: str, key: str, text: str, kw: str = "kw") -> list[tuple[str, str]]:
     return [
-        ("kw_words", f"SELECT {key} AS k, {_words(text)} AS w FROM {source}"),
+        (f"{kw}_words", f"SELECT {key} AS k, {_words(text)} AS w FROM {source}"),
         (
-            "kw_terms",
+            f"{kw}_terms",
             f"""SELECT k, unnest(list_filter(list_concat(w, list_transform(range(1, len(w)),
                 lambda i: w[i] || ' ' || w[i + 1])),
-                lambda t: NOT list_has_any(string_split(t, ' '), {_STOP}))) AS term FROM kw_words""",
+                lambda t: NOT list_has_any(string_split(t, ' '), {_STOP}))) AS term FROM {kw}_words""",
         ),
-        ("kw_tf", "SELECT k, term, count(*) AS tf FROM kw_terms GROUP BY k, term"),
-        ("kw_df", "SELECT term, count(*) AS df FROM kw_tf GROUP BY term"),
+        (f"{kw}_tf", f"SELECT k, term, count(*) AS tf FROM {kw}_terms GROUP BY k, term"),
+        (f"{kw}_df", f"SELECT term, count(*) AS df FROM {kw}_tf GROUP BY term"),
         (
-            "kw_rank",
+            f"{kw}_rank",
             f"""SELECT k, term, row_number() OVER (PARTITION BY k ORDER BY term IN {_VOCABULARY} DESC,
-                round(tf * ln((1.0::DOUBLE + (SELECT count(*) FROM kw_words)) / (1.0::DOUBLE + df)), 9) DESC,
+                round(tf * ln((1.0::DOUBLE + (SELECT count(*) FROM {kw}_words)) / (1.0::DOUBLE + df)), 9) DESC,
                 term) AS r
-                FROM kw_tf JOIN kw_df USING (term)""",
+                FROM {kw}_tf JOIN {kw}_df USING (term)""",
         ),
-        ("kw", "SELECT k, string_agg(term, '|' ORDER BY r) AS keywords FROM kw_rank WHERE r <= 5 GROUP BY k"),
+        (kw, f"SELECT k, string_agg(term, '|' ORDER BY r) AS keywords FROM {kw}_rank WHERE r <= 5 GROUP BY k"),
     ]
 
 
@@ -242,7 +242,6 @@ _SWEEP = f"""WITH RECURSIVE {_named([*_trade(), _FLOW])}, {_ranks('a', 0.7, 4)},
 _P = "'Paper:' || key"
 _CONF = f"'Conference:' || booktitle || '|' || {YEAR}"
 _JOUR = f"'Journal:' || journal || '|' || {YEAR} || '|' || volume"
-_LONG_WORDS = "list_distinct(list_filter(" + _words("title") + ", lambda w: length(w) > 4))"
 
 
 def _half(kind: str) -> str:
@@ -277,15 +276,15 @@ _LOADS = {
     "conference_papers": f"""
         SELECT 'node' AS part, 'Paper' AS kind, {_P} AS a, '' AS b FROM cp
         UNION SELECT 'node', 'Conference', {_CONF}, '' FROM cp
-        UNION SELECT 'node', 'Keyword', 'Keyword:' || unnest({_LONG_WORDS}), '' FROM cp
+        UNION SELECT 'node', 'Keyword', 'Keyword:' || unnest(string_split(keywords, '|')), '' FROM ckw
         UNION SELECT 'edge', 'HAS', {_CONF}, {_P} FROM cp
-        UNION SELECT 'edge', 'MENTIONS', {_P}, 'Keyword:' || unnest({_LONG_WORDS}) FROM cp""",
+        UNION SELECT 'edge', 'MENTIONS', 'Paper:' || k, 'Keyword:' || unnest(string_split(keywords, '|')) FROM ckw""",
     "journal_papers": f"""
         SELECT 'node' AS part, 'Paper' AS kind, {_P} AS a, '' AS b FROM jp
         UNION SELECT 'node', 'Journal', {_JOUR}, '' FROM jp
-        UNION SELECT 'node', 'Keyword', 'Keyword:' || unnest({_LONG_WORDS}), '' FROM jp
+        UNION SELECT 'node', 'Keyword', 'Keyword:' || unnest(string_split(keywords, '|')), '' FROM jkw
         UNION SELECT 'edge', 'HAS', {_JOUR}, {_P} FROM jp
-        UNION SELECT 'edge', 'MENTIONS', {_P}, 'Keyword:' || unnest({_LONG_WORDS}) FROM jp""",
+        UNION SELECT 'edge', 'MENTIONS', 'Paper:' || k, 'Keyword:' || unnest(string_split(keywords, '|')) FROM jkw""",
     "places": f"""
         SELECT 'node' AS part, 'Place' AS kind, 'Place:' || city || '|' || country AS a, '' AS b FROM places
         UNION SELECT 'node', 'Conference', {_CONF}, '' FROM places
@@ -297,7 +296,10 @@ _LOADS = {
         UNION SELECT 'node', 'Author', 'Author:' || author, '' FROM auth
         UNION SELECT 'edge', 'WRITES', 'Author:' || author, {_P} FROM auth""",
 }
-_GRAPH_CTES = [*BASE, *_VENUES, _PLACES, _CONF_PAPERS, _JOUR_PAPERS]
+_GRAPH_CTES = [
+    *BASE, *_VENUES, _PLACES, _CONF_PAPERS, _JOUR_PAPERS,
+    *_keyword_ctes("cp", "key", "title", "ckw"), *_keyword_ctes("jp", "key", "title", "jkw"),
+]
 
 
 def _draw(seed: str, key: str, n: str) -> str:
@@ -339,6 +341,9 @@ _REVIEWERS = (
 )
 _MATCHED = "SELECT DISTINCT record_type, 'Author:' || reviewer AS src, 'Paper:' || key AS dst FROM rv WHERE reviewer IN (SELECT author FROM auth)"
 
+_CITED_BY = f"""SELECT DISTINCT 'Paper:' || cite AS src, 'Paper:' || id AS dst FROM ({_view('citations')})
+        WHERE id IN (SELECT key FROM papers) AND cite IN (SELECT key FROM papers)"""
+
 # Reviewer draws: enough turns that every record has its three.
 _ASSIGN = [
     ("rows0", "SELECT key, author, row_number() OVER (ORDER BY key, author) - 1 AS no FROM (SELECT DISTINCT key, author FROM auth)"),
@@ -458,6 +463,7 @@ ORACLES = {
     "tsv_edges": _ctes(*_trade(), body="SELECT src, dst FROM e"),
     "ntriples_lines": _ctes(*_KG, body=_LINE),
     "citation_counts": f"SELECT count(DISTINCT id) AS n_citing, count(DISTINCT cite) AS n_cited, (SELECT count(*) FROM (SELECT id FROM ({_view('citations')}) WHERE cite <> '...' UNION SELECT cite FROM ({_view('citations')}) WHERE cite <> '...')) AS n_either FROM ({_view('citations')}) WHERE cite <> '...'",
+    "citation_subset_xml": _on_papers("SELECT record_type, key FROM papers WHERE key IN (SELECT key FROM c) OR key IN (SELECT cite FROM c)", ("c", f"SELECT key, {_CITED} AS cite FROM papers")),
     "citation_subset": _on_papers("SELECT record_type, key FROM papers WHERE key IN (SELECT id FROM c) OR key IN (SELECT cite FROM c)", ("c", f"SELECT * FROM ({_view('citations')}) WHERE cite <> '...'")),
     "project_distinct_notnull": "SELECT DISTINCT l_partkey, l_suppkey FROM (SELECT nullif(l_partkey, l_suppkey * 20) AS l_partkey, nullif(l_suppkey, 7) AS l_suppkey FROM lineitem) WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL",
     "lead_coauthor_split": _on_papers("SELECT key, author, is_lead FROM auth"),
@@ -480,6 +486,9 @@ ORACLES = {
     "venue_of_publication": _ctes(PAPERS, *_KG_VIEWS, _SENT, body="SELECT publication_id, edition_id, venue_id FROM sent"),
     "affiliation_edges": _on_papers("SELECT author, organization FROM aff", *_AFFILIATED),
     "assign_reviewers": _on_papers("SELECT key, reviewer, pick FROM ranked WHERE pick <= 3", *_ASSIGN),
+    "reviewer_tables": _on_papers(f"""SELECT key, string_agg(reviewer, '|' ORDER BY pick) AS reviewer, '{REVIEW_TEXT}' AS textual_description
+        FROM ranked WHERE pick <= 3 GROUP BY key""", *_ASSIGN),
+    "authors_affiliation": _on_papers("SELECT author, organization AS affiliation FROM aff", *_AFFILIATED),
     "union_all_authors": _on_papers("SELECT author, count(*) AS n FROM auth GROUP BY author"),
     "extract_conferences": _ctes(PAPERS, body=f"SELECT DISTINCT booktitle, {YEAR} AS year FROM papers WHERE record_type = 'inproceedings' AND booktitle IS NOT NULL AND {YEAR} IS NOT NULL"),
     "extract_journals": _ctes(PAPERS, body=f"SELECT journal, volume, {YEAR} AS year FROM (SELECT DISTINCT journal, volume, year FROM papers WHERE record_type = 'article' AND journal IS NOT NULL AND volume IS NOT NULL AND year IS NOT NULL)"),
@@ -494,16 +503,18 @@ ORACLES = {
     },
     "nodes_all": _ctes(*_GRAPH_CTES, *_AFFILIATED, _FULL_PAPERS, _LOADED, body=_NODES_ALL),
     "nodes_paper": _ctes(*_GRAPH_CTES, _FULL_PAPERS, body="SELECT 'Paper:' || k.key AS id, k.key, title, year FROM (SELECT DISTINCT key FROM auth) k LEFT JOIN full_papers USING (key)"),
-    "edges_all": _ctes(*_GRAPH_CTES, *_AFFILIATED, _LOADED, body="""
+    "edges_all": _ctes(*_GRAPH_CTES, *_AFFILIATED, _LOADED, *_ASSIGN, body=f"""
         SELECT kind AS type, a AS src, b AS dst, NULL::BOOLEAN AS is_lead FROM loaded WHERE part = 'edge' AND kind <> 'WRITES' AND a IS NOT NULL AND b IS NOT NULL
         UNION ALL SELECT 'WRITES', 'Author:' || author, 'Paper:' || key, is_lead FROM auth
-        UNION ALL SELECT 'IS_AFFILIATED_TO', 'Author:' || author, 'Organization:' || organization, NULL FROM aff"""),
+        UNION ALL SELECT 'IS_AFFILIATED_TO', 'Author:' || author, 'Organization:' || organization, NULL FROM aff
+        UNION ALL SELECT DISTINCT 'REVIEWS', 'Author:' || reviewer, 'Paper:' || key, NULL FROM ranked WHERE pick <= 3
+        UNION ALL SELECT 'CITED_BY', src, dst, NULL FROM ({_CITED_BY})"""),
     "edges_writes": _on_papers("SELECT 'Author:' || author AS src, 'Paper:' || key AS dst, is_lead FROM auth"),
     "review_edges": _on_papers(f"SELECT DISTINCT src, dst FROM ({_MATCHED})", _REVIEWERS),
     "review_evolve": _on_papers(f"""SELECT src, dst, CASE WHEN record_type = 'inproceedings' THEN 'accept' END AS decision,
         CASE WHEN record_type = 'inproceedings' THEN '{REVIEW_TEXT}' END AS textual_description FROM ({_MATCHED})""", _REVIEWERS),
-    "citation_edges": _on_papers(f"""SELECT DISTINCT 'Paper:' || cite AS src, 'Paper:' || id AS dst FROM ({_view('citations')})
-        WHERE id IN (SELECT key FROM papers) AND cite IN (SELECT key FROM papers)"""),
+    "citation_edges": _on_papers(_CITED_BY),
+    "citation_file_edges": _on_papers(_CITED_BY),
     "relation_normalize": _on_papers("""SELECT 'node' AS part, no AS a, author AS b FROM n
         UNION ALL SELECT 'edge', num, CAST(no AS VARCHAR) FROM auth0 JOIN n USING (author)""",
         ("n", "SELECT author, row_number() OVER (ORDER BY author) - 1 AS no FROM (SELECT DISTINCT author FROM auth0)")),
@@ -525,6 +536,8 @@ ORACLES = {
         SELECT CASE WHEN p = '{RDF_TYPE}' THEN o ELSE p END AS s, count(*) AS n FROM abox GROUP BY 1) u ON u.s = t.s"""),
     "props_of_domain": _ctes(*_KG, _TBOX, _ALL, body=_domains("Author")),
     "props_of_domains": _ctes(*_KG, _TBOX, _ALL, body=_domains("Conference", "Journal")),
+    "ntriples_roundtrip": _ctes(*_KG, _TBOX, _ALL, body=_LINE.replace("FROM abox", "FROM triples")),
+    "abox_from_csv": _ctes(*_KG, body="SELECT s, p, o, o_is_literal FROM abox"),
     "abox_triples": _ctes(*_KG, body="SELECT s, p, o, o_is_literal FROM abox"),
     "author_titles": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more="")),
     "author_titles_by_keyword": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more=_BY_KEYWORD)),

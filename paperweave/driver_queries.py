@@ -145,6 +145,13 @@ def citation_subset(spark, sf):
     return rel.citation_subset(records, pairs.withColumnRenamed("id", "key")).select("record_type", "key")
 
 
+def citation_subset_xml(spark, sf):
+    """From the dump itself: citation pairs, the keys on either side, and their records."""
+    records = _written_xml(spark, sf)
+    keyed = records.select("record_type", F.try_element_at(xml.cell_values("key"), F.lit(1)).alias("key"))
+    return rel.citation_subset(keyed, xml.citation_pairs(records)).select("record_type", "key")
+
+
 def project_distinct_notnull(spark, sf):
     lines = views.table(spark, sf, "lineitem").select(
         F.expr("nullif(l_partkey, l_suppkey * 20)").alias("l_partkey"),
@@ -281,6 +288,15 @@ def assign_reviewer_rows(spark, sf):
     return assign_reviewers(rel.authorship(_papers(spark, sf))).select("key", "reviewer", "pick")
 
 
+def reviewer_tables(spark, sf):
+    return bib.generate_reviews(_papers(spark, sf))
+
+
+def authors_affiliation(spark, sf):
+    tables = [*bib.extract_authors(_conference(spark, sf)), *bib.extract_authors(_journal(spark, sf))]
+    return bib.authors_affiliation(tables, views.bibliography(spark, sf, "organizations"))
+
+
 def affiliations(spark, sf):
     authors = rel.authorship(_papers(spark, sf))
     return assign_affiliations(authors, views.bibliography(spark, sf, "organizations"))
@@ -289,12 +305,6 @@ def affiliations(spark, sf):
 # Property graph
 
 
-def _title_words(papers: DataFrame) -> DataFrame:
-    """Keyword cells from the title words themselves, for graph loading."""
-    words = F.array_distinct(F.filter(tokens("title"), lambda w: F.length(w) > 4))
-    return papers.withColumn("keywords", F.array_join(words, "|"))
-
-
 def _half(papers: DataFrame, kind: str) -> DataFrame:
     return papers.filter(F.col("record_type") == kind)
 
@@ -306,11 +316,9 @@ def _load(name: str, papers: DataFrame, spark, sf) -> pg.Load:
     if name == "journals":
         return pg.load_journals(bib.extract_journals(journal))
     if name == "conference_papers":
-        columns = ["key", "title", "booktitle", "year"]
-        return pg.load_conference_papers(_title_words(rel.coerce_year(conference, columns)))
+        return pg.load_conference_papers(bib.extract_conference_papers(conference))
     if name == "journal_papers":
-        columns = ["key", "title", "journal", "year", "volume"]
-        return pg.load_journal_papers(_title_words(rel.coerce_year(journal, columns)))
+        return pg.load_journal_papers(bib.extract_journal_papers(journal))
     if name == "places":
         gazetteer = views.bibliography(spark, sf, "gazetteer")
         return pg.load_places(bib.extract_venues(conference, gazetteer))
@@ -383,7 +391,11 @@ def nodes_paper(spark, sf):
 
 
 def edges_all(spark, sf):
-    return _graph(spark, sf).edges.select("type", "src", "dst", "is_lead")
+    """All eleven edge types; reviews and citations only between nodes of the graph."""
+    ends = _entity_nodes(spark, sf)
+    reviews = pg.review_edges(bib.generate_reviews(_papers(spark, sf)), ends)
+    cited = pg.citation_edges(views.bibliography(spark, sf, "citations").filter("cite != '...'"), ends)
+    return pg.merge_edges(_graph(spark, sf).edges, reviews, cited).select("type", "src", "dst", "is_lead")
 
 
 def edges_writes(spark, sf):
@@ -419,6 +431,14 @@ def citation_edges(spark, sf):
     return pg.citation_edges(pairs, _entity_nodes(spark, sf)).select("src", "dst")
 
 
+def citation_file_edges(spark, sf):
+    """Citations from a comma-separated file without a header."""
+    path = scratch_path(spark, "cited")
+    views.bibliography(spark, sf, "citations").select("id", "cite").write.option("header", False).csv(path)
+    pairs = delimited.read_delimited(spark, path, "id STRING, cite STRING", sep=",", header=False)
+    return pg.citation_edges(pairs.filter("cite != '...'"), _entity_nodes(spark, sf)).select("src", "dst")
+
+
 # Ids
 
 
@@ -534,6 +554,23 @@ def abox(spark, sf):
     return kg.abox_triples(views.knowledge_tables(spark, sf), NS)
 
 
+def abox_from_csv(spark, sf):
+    """The tables go through comma-separated files, quoted line breaks included."""
+    tables = {}
+    for name, rows in views.knowledge_tables(spark, sf).items():
+        path = scratch_path(spark, name)
+        delimited.write_delimited(rows, path, sep=",")
+        tables[name] = delimited.read_delimited(spark, path, rows.schema, sep=",", multi_line=True)
+    return kg.abox_triples(tables, NS)
+
+
+def ntriples_roundtrip(spark, sf):
+    """Ontology and data as N-Triples files, read back line by line."""
+    path = scratch_path(spark, "nt")
+    graph_files.write_ntriples(kg.knowledge_graph(spark, views.knowledge_tables(spark, sf), NS), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def author_title_cells(spark, sf):
     return author_titles(_triples(spark, sf), NS).select("author", "part", "titles")
 
@@ -554,6 +591,12 @@ QUERIES = {
     "citation_pairs": citation_pairs,
     "citation_counts": citation_counts,
     "citation_subset": citation_subset,
+    "citation_subset_xml": citation_subset_xml,
+    "citation_file_edges": citation_file_edges,
+    "reviewer_tables": reviewer_tables,
+    "authors_affiliation": authors_affiliation,
+    "abox_from_csv": abox_from_csv,
+    "ntriples_roundtrip": ntriples_roundtrip,
     "project_distinct_notnull": project_distinct_notnull,
     "lead_coauthor_split": lead_coauthor_split,
     "trim_all": trim_all,
