@@ -69,17 +69,9 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-DEFAULT_PARTITIONS = "200"  # Spark's own default for spark.sql.shuffle.partitions
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
-    """Partitions for explicit layouts: the session's setting, or one per core
-    where the setting was left at Spark's default."""
-    setting = spark.conf.get("spark.sql.shuffle.partitions")
-    chosen = spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
-    if setting == DEFAULT_PARTITIONS and not chosen:
-        return spark.sparkContext.defaultParallelism
-    return int(setting)
+    """Partitions for explicit layouts: the session's setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 @contextmanager

@@ -114,6 +114,16 @@ def test_reviewers_are_distinct_foreign_and_repeatable(spark):
         assert len(chosen) == len(set(chosen)) == 3 and not own[k] & set(chosen)
 
 
+def test_reviewers_where_one_author_holds_nearly_all_rows(spark):
+    data = [(f"p{i}", "busy") for i in range(400)] + [(f"p{i}", f"a{i}") for i in range(6)]
+    df = spark.createDataFrame(data, "key string, author string")
+    got = collections.defaultdict(set)
+    for k, r, _ in assign_reviewers(df, 3, row_draws=12).collect():
+        got[k].add(r)
+    assert len(got) == 400 and all(len(v) == 3 and "busy" not in v for v in got.values())
+    assert all(f"a{i}" not in got[f"p{i}"] for i in range(6))
+
+
 def test_reviewers_when_too_few_others_exist(spark):
     df = spark.createDataFrame([("p", "a"), ("q", "b")], "key string, author string")
     found = assign_reviewers(df, 3)
