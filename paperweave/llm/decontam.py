@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, mixed, stored
+from .common import map_rows, mixed, ship, stored
 
 # Seven of eleven words count.
 MASKS = ("11101001011", "11010011101", "11001110011", "10110101101")
@@ -163,6 +163,7 @@ def clean(
     block_words: int = 250_000,
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, that overlap with no item; nothing is moved."""
+    ship(docs.sparkSession)
     for shared in _blocks(benchmark, item_col, item_text_col, least, block_words):
 
         def passed(batches, shared=shared):

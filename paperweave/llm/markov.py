@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 WINDOW = 4 << 20
 
@@ -77,6 +77,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
                     [names, pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["class", "gram", "n"]
                 )
 
+    ship(texts.sparkSession)
     tall = texts.select(F.col("class").cast("string"), F.col("text").cast("binary"))
     return tall.mapInArrow(count, "class string, gram long, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
 

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
+from .common import map_rows, ship, stored
 from .tokens import encoder
 
 SHARD_PIECES = 16_384
@@ -163,6 +163,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", sh
     bounded number of lengths, and each shard can leave one sequence part empty. Lengths must be between 1 and
     ``capacity``; an empty table gives an empty one. Clashing columns ``sequence_id`` and ``offset`` are replaced.
     """
+    ship(pieces.sparkSession)
     pieces = pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id())
     pieces = stored(pieces, "pieces")
     shards = max(1, -(-pieces.count() // shard_pieces))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, map_rows, mixed
+from .common import MIX, map_rows, mixed, ship
 
 BITS = 18
 LOW = (1 << 24) - 1
@@ -93,6 +93,7 @@ def train(
     dealt to learners of about ``learner_rows`` rows whose weights are averaged. The model has a fixed size.
     Without labelled rows all weights are 0 and every score is 0.5. Null ids and labels are left out.
     """
+    ship(docs.sparkSession)
     usable = labels.select(F.col("id").cast("long"), F.col("label").cast("int")).dropna()
     chosen = usable.withColumn("o", F.xxhash64("id")).orderBy("o", "id", "label").limit(max_rows)
     shards = max(1, -(-chosen.count() // learner_rows))
@@ -144,6 +145,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
 
 def keep(docs: DataFrame, weights: np.ndarray, least: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, whose score is at least ``least``; nothing is moved."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def passed(batches):
