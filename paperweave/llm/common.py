@@ -56,6 +56,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_rows(df: DataFrame, handle: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str, flush: int = 2000) -> DataFrame:
     """``handle`` gets the rows of a partition one by one and yields result rows.
 

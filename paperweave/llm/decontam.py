@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, mixed, ship, stored
+from .common import map_rows, mixed, ship, sliced, stored
 
 # Seven of eleven words count.
 MASKS = ("11101001011", "11010011101", "11001110011", "10110101101")
@@ -170,7 +170,7 @@ def clean(
             import pyarrow as pa
 
             cache, index = Hashes(), shared.value
-            for batch in batches:
+            for batch in sliced(batches):
                 texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
                 yield batch.filter(pa.array([not index.overlaps(cache.of(t), overlap, share) for t in texts], pa.bool_()))
 

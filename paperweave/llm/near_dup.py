@@ -22,7 +22,7 @@ from .common import MIX, WordHashes, ascii_words, map_rows, mixed, shingles, sto
 from .components import connected_components
 
 SLICE = 1 << 15
-BLOCK_SHINGLES, SLICE_SHINGLES = 200_000, 800_000
+BLOCK_SHINGLES, SLICE_SHINGLES = 100_000, 400_000
 
 
 def _tuples(values: np.ndarray, factors: np.ndarray, rows: int) -> list[int]:
@@ -238,16 +238,16 @@ def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between sets of open buckets that are still in different components.
 
-    Sets that open buckets hold together form an area. Within it every set outside the area's most
-    frequent component meets all sets, block by block: blocks and slices are cut by
+    Components that open buckets hold together form an area. Within it every set outside the area's
+    most frequent component meets all sets, block by block: blocks and slices are cut by
     their number of shingles, so a task holds a bounded part of an area of any size
     and gives out links only, never the pairs it has looked at.
     """
-    first = stored(members.groupBy("key").agg(F.min("member").alias("a")), "first")
-    together = members.join(first, "key").filter("a <> member").select("a", F.col("member").alias("b"))
-    areas = connected_components(together).withColumnRenamed("component", "area")
+    first = stored(members.groupBy("key").agg(F.min("component").alias("a")), "first")
+    together = members.select("key", F.col("component").alias("b")).distinct().join(first, "key").filter("a <> b").select("a", "b")
+    areas = connected_components(together).select(F.col("id").alias("component"), F.col("component").alias("area"))
     own = members.select(F.col("member").alias("id"), "component", "size").distinct()
-    own = stored(own.join(areas, "id"), "areas")
+    own = stored(own.join(areas, "component"), "areas")
     counts = own.groupBy("area", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     main = counts.groupBy("area").agg(F.max(F.struct("n", "component", "s")).alias("main"), F.sum("s").alias("all"))
     main = stored(main.select("area", F.col("main.component").alias("main"),
@@ -269,8 +269,10 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(group):
         import pyarrow as pa
 
-        ids, parts, lists, asks = (group.column(c).to_pylist() for c in row[3:])
-        lists = [np.array(x, np.int64) for x in lists]
+        ids, parts, asks = (group.column(c).to_pylist() for c in ("id", "component", "asks"))
+        column = group.column("shingles").combine_chunks()
+        bounds, whole = column.offsets.to_numpy(), column.values.to_numpy()
+        lists = [whole[a:b] for a, b in zip(bounds, bounds[1:])]
         x = [i for i, q in enumerate(asks) if q]
         if not x:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})

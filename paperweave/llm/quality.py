@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, map_rows, mixed, ship
+from .common import MIX, map_rows, mixed, ship, sliced
 
 BITS = 18
 LOW = (1 << 24) - 1
@@ -152,7 +152,7 @@ def keep(docs: DataFrame, weights: np.ndarray, least: float, text_col: str = "te
         import pyarrow as pa
 
         cache = Shapes()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array([probability(t, shared.value, cache) >= least for t in texts], pa.bool_()))
 
