@@ -238,16 +238,16 @@ def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between sets of open buckets that are still in different components.
 
-    Components that open buckets hold together form an area. Within it every set outside the area's
-    most frequent component meets all sets, block by block: blocks and slices are cut by
+    Open buckets with the same largest component form an area; a set is in the area of each of its
+    buckets. Within an area every set outside the most frequent component meets all sets, block by block: blocks and slices are cut by
     their number of shingles, so a task holds a bounded part of an area of any size
     and gives out links only, never the pairs it has looked at.
     """
-    first = stored(members.groupBy("key").agg(F.min("component").alias("a")), "first")
-    together = members.select("key", F.col("component").alias("b")).distinct().join(first, "key").filter("a <> b").select("a", "b")
-    areas = connected_components(together).select(F.col("id").alias("component"), F.col("component").alias("area"))
-    own = members.select(F.col("member").alias("id"), "component", "size").distinct()
-    own = stored(own.join(areas, "component"), "areas")
+    held = stored(members.select("member", "component").distinct().groupBy("component").count(), "held")
+    present = stored(members.select("key", "component").distinct().join(held, "component"), "present")
+    first = stored(present.groupBy("key").agg(F.max(F.struct("count", "component")).alias("m")).select("key", F.col("m.component").alias("a")), "first")
+    own = members.join(first, "key").select(F.col("member").alias("id"), "component", "size", F.col("a").alias("area"))
+    own = stored(own.distinct(), "areas")
     counts = own.groupBy("area", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     main = counts.groupBy("area").agg(F.max(F.struct("n", "component", "s")).alias("main"), F.sum("s").alias("all"))
     main = stored(main.select("area", F.col("main.component").alias("main"),
