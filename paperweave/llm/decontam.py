@@ -9,6 +9,7 @@ when enough words agree.
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -88,23 +89,46 @@ class Index:
         return np.unique(np.concatenate(hits), axis=0).tolist() if hits else []
 
     def overlaps(self, words: np.ndarray, overlap: int, share: float):
-        """``(item id, first word, words, agreeing words)``: the best overlap with each item that has one."""
+        """``(item id, first word, words, agreeing words)``: the best overlap with each item that has one.
+
+        On each diagonal every segment counts of which at least ``share`` agrees; the best has most agreeing words.
+        """
         best: dict[int, tuple[int, int, int]] = {}
-        penalty = share / (1 - share)
+        exact = Fraction(share).limit_denominator(1_000_000)
+        reward, penalty = exact.denominator - exact.numerator, exact.numerator
         for k, shift in self.diagonals(words):
             item = self.words[k]
             start, end = max(0, shift), min(len(words), shift + len(item))
             same = words[start:end] == item[start - shift : end - shift]
-            sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -penalty))])
-            gain = sums - np.minimum.accumulate(sums)
-            last = int(gain.argmax())
-            first = int(sums[: last + 1].argmin())
-            agreeing = int(same[first:last].sum())
-            if agreeing >= min(overlap, len(item)) and agreeing > best.get(k, (0, 0, 0))[2]:
+            least = max(min(overlap, len(item)), best.get(k, (0, 0, 0))[2] + 1)
+            if np.count_nonzero(same) < least:
+                continue
+            first, last, agreeing = _most_agreeing(same, reward, penalty)
+            if agreeing >= least:
                 best[k] = start + first, last - first, agreeing
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
+def _most_agreeing(same: np.ndarray, reward: int, penalty: int) -> tuple[int, int, int]:
+    """``(first, last, agreeing)`` of the segment with most agreeing words among those of non-negative sum.
+
+    A segment ends best with the earliest start whose prefix sum is not above its own; of equal ones the
+    shortest without changed words at its ends, then the first, is taken.
+    """
+    sums = np.concatenate([[0], np.cumsum(np.where(same, reward, -penalty))])
+    agreed = np.concatenate([[0], np.cumsum(same)])
+    starts = np.searchsorted(-np.minimum.accumulate(sums), -sums)
+    gained = agreed - agreed[starts]
+    most = int(gained.max())
+    if not most:
+        return 0, 0, 0
+    ends = np.flatnonzero(gained == most)
+    places = np.flatnonzero(same)
+    first, last = places[agreed[starts[ends]]], places[agreed[ends] - 1] + 1
+    k = int((last - first).argmin())
+    return int(first[k]), int(last[k]), most
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -90,6 +90,38 @@ def test_passages_are_found_with_changed_words(spark):
     assert [(r.item_id, r.start, r.words, r.agreeing) for r in places] == [(0, 200, 30, 30)]
 
 
+def _scan(same, share, least):
+    """Most agreeing words of any segment that meets the rule, by trying all; 0 if none does."""
+    agreed = [0]
+    for x in same:
+        agreed.append(agreed[-1] + x)
+    found = [agreed[j] - agreed[i] for i in range(len(same)) for j in range(i + 1, len(same) + 1) if 5 * (agreed[j] - agreed[i]) >= share * (j - i)]
+    return max((n for n in found if n >= least), default=0)
+
+
+def test_every_overlap_on_a_hit_diagonal_counts():
+    draw = random.Random(13)
+    words = _words(draw, 60)
+    item = " ".join(words).encode()
+    index, cache = decontam.Index([(7, item)], 8), decontam.Hashes()
+    changes = [{12, 13, 14, 15}] + [set(range(at, n, gap)) for n in (28, 40, 60) for gap in range(2, 9) for at in range(gap)]
+    changes += [set(draw.sample(range(60), draw.randint(4, 40))) for _ in range(300)]
+    met = 0
+    for n, changed in [(28, changes[0]), *((60, c) for c in changes)]:
+        same = [k not in changed for k in range(n)]
+        doc = cache.of(" ".join(w if s else "other" for w, s in zip(words, same)).encode())
+        want = _scan(same + [False] * (60 - n), 4, 13)
+        found = index.overlaps(doc, 13, 0.8)
+        if index.diagonals(doc):
+            assert [f[3] for f in found] == [want] * bool(want), sorted(changed)
+            met += bool(want)
+        for _, start, size, agreeing in found:
+            assert agreeing == sum(same[start : start + size]) and 5 * agreeing >= 4 * size and same[start] and same[start + size - 1]
+    assert met > 100
+    assert [f[1:] for f in index.overlaps(cache.of(" ".join([*words[:12], *"wxyz", *words[16:28]]).encode()), 13, 0.8)] == [(0, 28, 24)]
+    assert [f[1:] for f in index.overlaps(cache.of(item), 13, 1.0)] == [(0, 60, 60)]
+
+
 def test_no_benchmark_and_no_documents(spark):
     docs, bench = spark.createDataFrame([(1, "a b", "", "")], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert [tuple(r) for r in decontam.contamination(docs, bench).collect()] == [(1, False, [], 0)]
