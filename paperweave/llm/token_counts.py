@@ -20,6 +20,7 @@ from .tokens import Recent
 MARK = "▁"
 CUTS = re.compile(r"▁*[^▁\n]+|▁+|\n")
 CACHE = 300_000
+LONGEST = 256  # signs of a pre-token in the frequent table; longer ones are encoded where they stand
 
 
 class PieceCounter:
@@ -101,11 +102,11 @@ def frequent_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, samp
             if len(seen) > 16 * most:
                 seen = Counter(dict(seen.most_common(8 * most)))
         for piece, _ in seen.most_common(most):
-            if "\0" not in piece:
+            if "\0" not in piece and len(piece) <= LONGEST:
                 yield piece, own.recent[piece]
 
     rows = map_rows(sample.repartition(1), gather, "piece string, n int").collect()  # at most `most` rows
-    return "\0".join(r[0] for r in rows), np.array([r[1] for r in rows], np.uint16)
+    return "\0".join(r[0] for r in rows), np.array([r[1] for r in rows], np.uint32)
 
 
 def token_counts(

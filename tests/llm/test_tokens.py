@@ -52,6 +52,16 @@ def test_token_counts(spark):
     assert token_counts.token_counts(spark.createDataFrame([], DOCS), PIECES).collect() == []
 
 
+def test_counts_of_unbroken_texts(spark):
+    draw = random.Random(4)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=150_000)), "a b a", "x" * 300 + " b"]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOCS)
+    library = SentencePieceProcessor(model_file=PIECES)
+    want = [(i, len(t), len(library.encode(t))) for i, t in enumerate(texts)]
+    assert want[0][2] > 65_535
+    assert sorted(map(tuple, token_counts.token_counts(docs, PIECES).collect())) == want
+
+
 def _check_plan(lengths, capacity, **options):
     lengths = np.array(lengths, np.int64)
     sequence, offset = packing.plan(lengths, capacity, **options)
