@@ -12,37 +12,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows
-from .markov import Contexts, frozen, gram_counts, text_bits
+from .markov import Models, frozen, gram_counts, text_bits
 
 ORDER = 3
 UNKNOWN = "und"
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, max_grams: int = 1 << 19) -> dict[str, Contexts]:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, max_grams: int | None = None) -> Models:
     """A context tree for each non-null language, from the counts of all rows of ``docs``.
 
-    ``max_grams`` bounds the nodes that are kept over all languages, the rarest being left out; rows without
-    language or text teach nothing.
+    All contexts are kept, block by block where they outgrow one. ``max_grams`` bounds the nodes that are kept
+    over all languages, each having its share; rows without language or text teach nothing.
     """
     texts = docs.select(F.col(lang_col).alias("class"), F.col(text_col).alias("text")).dropna()
     return frozen(gram_counts(texts, order), order, max_grams)
 
 
-def predict(docs: DataFrame, models: dict[str, Contexts], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score)`` for each row: the language and its share of the likelihood.
 
     Texts that are null or have no letter, and all texts without a model, are ``und`` with score 0. Equal code
     lengths go to the first language by name.
     """
     names = sorted(models)
-    order = next(iter(models.values())).order if models else ORDER
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    order = models.order if models else ORDER
+    bits_of = models.scorer("ppm_bits") if models else lambda codes: []
 
     def scored(rows):
-        trees = [shared.value[n] for n in names]
         keyed = (((identity, letters), text if letters else b"") for identity, text, letters in rows)
-        for (identity, letters), bits, _ in text_bits(keyed, order, lambda codes: [t.ppm_bits(codes) for t in trees]):
-            if not letters or not trees:
+        for (identity, letters), bits, _ in text_bits(keyed, order, bits_of):
+            if not letters or not names:
                 yield identity, UNKNOWN, 0.0
                 continue
             best = int(bits.argmin())

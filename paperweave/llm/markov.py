@@ -1,4 +1,8 @@
-"""Byte context statistics: gathered over all rows by Spark, frozen into a bounded model."""
+"""Byte context statistics: gathered over all rows by Spark, frozen into models of all contexts.
+
+A model that outgrows one block is cut by the two bytes before a symbol: contexts of two and more bytes are in
+one block, those of fewer in every block, so each gram is scored whole by one block.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 WINDOW = 4 << 20
+BLOCK = 1 << 19  # grams of all classes that a worker holds at once
+HELD = 2  # blocks that stay loaded; of more, one at a time is
 
 
 def grams(text: np.ndarray, order: int) -> np.ndarray:
@@ -82,32 +88,108 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
     return tall.mapInArrow(count, "class string, gram long, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
 
 
-def frozen(counts: DataFrame, order: int, max_grams: int) -> dict[str, Contexts]:
-    """A model for each class, of the most frequent grams: at most ``max_grams`` over all classes.
+class Models(dict):
+    """Class by class its tree; of several blocks the first one's. ``blocks`` are ``(first, end, broadcast trees)``."""
+
+    def __init__(self, names: list[str], order: int):
+        super().__init__()
+        self.names, self.order, self.blocks = names, order, []
+
+    def scorer(self, method: str):
+        """``bits_of(codes)`` for tasks: an array for each class, from whichever block has a code's contexts."""
+        names, blocks = self.names, self.blocks
+
+        def bits_of(codes: np.ndarray) -> np.ndarray:
+            bits, part = np.zeros((len(names), len(codes))), _part(codes)
+            for first, end, shared in blocks:
+                at = np.flatnonzero((part >= first) & (part < end))
+                if not len(at):
+                    continue
+                trees = shared.value
+                for m, name in enumerate(names):
+                    bits[m, at] = getattr(trees[name], method)(codes[at])
+                if len(blocks) > HELD:
+                    shared.__dict__.pop("_value", None)  # read again from its file when next asked for
+            return bits
+
+        return bits_of
+
+
+def _part(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(8)) & np.uint64(0xFFFF)
+
+
+def frozen(counts: DataFrame, order: int, max_grams: int | None = None, block_grams: int = BLOCK) -> Models:
+    """A model for each class, of all grams counted, in blocks of about ``block_grams`` grams.
 
-    Counts below the smallest bound that keeps to the limit are left out; the bound
-    is read off the histogram of counts, of which all rows are part.
+    With ``max_grams`` only the most frequent: each class has its share of the limit, what a small one leaves
+    going to the others. A class's counts below the smallest bound that keeps to its share are left out, never
+    its most frequent ones, so no class vanishes.
     """
     counts = stored(counts, "grams")
+    if max_grams is not None:
+        counts = _most_frequent(counts, max_grams)
+    part = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
+    sizes = sorted(map(tuple, counts.groupBy(part.alias("part")).count().collect()))  # at most 65,536 rows
+    names = sorted(r[0] for r in counts.select("class").distinct().collect())
+    models, context = Models(names, order), counts.sparkSession.sparkContext
+    starts, size = [0], 0
+    for at, rows in sizes:
+        if size and size + rows > block_grams:
+            starts, size = [*starts, at], 0
+        size += rows
+    base = None
+    if len(starts) > 1:  # grams of two bytes over all blocks: at most 65,536 rows a class
+        low = F.col("gram").bitwiseAND(F.lit((1 << 8 * min(2, order + 1)) - 1))
+        base = _by_class(counts.groupBy("class", low.alias("gram")).agg(F.sum("n").alias("n")), names)
+    for first, end in zip(starts, [*starts[1:], 1 << 16]):
+        own = _by_class(counts.filter((part >= first) & (part < end)), names)
+        trees = {c: Contexts(*own[c], order, base and base[c]) for c in names}
+        models.blocks.append((first, end, context.broadcast(trees)))
+        if not models:
+            models.update(trees)
+    return models
+
+
+def _by_class(counts: DataFrame, names: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """``(grams, counts)`` of each class."""
+    number = F.array_position(F.array(*map(F.lit, names)), F.col("class")).cast("int") if names else F.lit(0)
+    table = counts.select(number.alias("class"), "gram", F.col("n").cast("double")).toArrow()
+    at, gram, n = (table.column(c).to_numpy() for c in table.column_names)
+    return {c: (gram[at == k].view(np.uint64), n[at == k]) for k, c in enumerate(names, 1)}
+
+
+def _most_frequent(counts: DataFrame, max_grams: int) -> DataFrame:
     level = F.floor(F.log2("n")).cast("int")
-    rows = counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()  # at most 64 rows
-    kept, least = 0, 64
-    for r in sorted(rows, key=lambda r: -r["level"]):
-        if kept + r["rows"] > max_grams:
-            break
-        kept, least = kept + r["rows"], r["level"]
-    table = counts.filter(level >= least).toArrow()
-    names, gram, n = (table.column(c).combine_chunks() for c in ("class", "gram", "n"))
-    names, gram, n = np.array(names.to_pylist(), object), gram.to_numpy().view(np.uint64), n.to_numpy()
-    return {c: Contexts(gram[names == c], n[names == c], order) for c in sorted(set(names.tolist()))}
+    rows = counts.groupBy("class", level.alias("level")).agg(F.count("*").alias("rows")).collect()  # 64 a class
+    levels: dict[str, list[tuple[int, int]]] = {}
+    for name, at, n in sorted(rows, key=lambda r: -r["level"]):
+        levels.setdefault(name, []).append((at, n))
+    bounds, left = [], max_grams
+    smallest_first = sorted(levels, key=lambda c: (sum(n for _, n in levels[c]), c))
+    for done, name in enumerate(smallest_first):
+        kept, least = levels[name][0][1], levels[name][0][0]
+        for at, n in levels[name][1:]:
+            if kept + n > left // (len(levels) - done):
+                break
+            kept, least = kept + n, at
+        bounds.append((name, least))
+        left = max(0, left - kept)
+    bound = counts.sparkSession.createDataFrame(bounds, "of string, least int")
+    return counts.join(F.broadcast(bound), F.col("class") == F.col("of")).filter(level >= F.col("least")).drop("of", "least")
 
 
 class Contexts:
-    """Counts of all orders up to ``order``, each the sum over longer contexts."""
+    """Counts of all orders up to ``order``, each the sum over longer contexts.
 
-    def __init__(self, gram: np.ndarray, n: np.ndarray, order: int):
+    Of a block, ``base`` has the grams of two bytes of the whole class, from which its shortest contexts are.
+    """
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, order: int, base: tuple[np.ndarray, np.ndarray] | None = None):
         self.order, self.levels = order, []
         for k in range(order, -1, -1):
+            if base is not None and k == min(order, 1):
+                gram, n = base
             low, at = np.unique(gram & self.mask(k + 1), return_inverse=True)
             gram, n = low, np.bincount(at, weights=n, minlength=len(low))
             context, of = np.unique(low >> np.uint64(8), return_inverse=True)
@@ -133,6 +215,8 @@ class Contexts:
         bits, done = np.zeros(len(codes)), np.zeros(len(codes), bool)
         less_total, less_kinds = np.zeros(len(codes)), np.zeros(len(codes))
         for k, level in enumerate(self.levels):
+            if not len(level["gram"]):  # a block without longer contexts of this class
+                continue
             low = codes & self.mask(self.order - k + 1)
             at, known = self._find(level["context"], low >> np.uint64(8))
             total, kinds = level["total"][at] - less_total, level["kinds"][at] - less_kinds
@@ -154,6 +238,8 @@ class Contexts:
         p = np.full(len(codes), 1 / 256)
         for k in range(self.order, -1, -1):
             level = self.levels[k]
+            if not len(level["gram"]):
+                continue
             low = codes & self.mask(self.order - k + 1)
             at, known = self._find(level["context"], low >> np.uint64(8))
             g, seen = self._find(level["gram"], low)

@@ -144,6 +144,53 @@ def test_counts_and_bound(spark):
     assert {c: m.levels[0]["n"].tolist() for c, m in kept.items()} == {"x": [2.0], "y": [2.0]}
 
 
+def test_a_rare_class_beside_a_hot_one_keeps_its_grams(spark):
+    hot = [("hot", k, 4 ** (k % 6 + 1)) for k in range(4000)]
+    rare = [("rare", 10_000 + k, 1 + k % 3) for k in range(60)]
+    counts = spark.createDataFrame(hot + rare, "class string, gram long, n long")
+    whole = frozen(counts, 1)
+    assert {c: len(m.levels[0]["gram"]) for c, m in whole.items()} == {"hot": 4000, "rare": 60}
+    kept = {c: len(m.levels[0]["gram"]) for c, m in frozen(counts, 1, max_grams=2000).items()}
+    assert kept["rare"] == 60 and 1000 < kept["hot"] <= 1940
+
+
+def test_rare_language_beside_a_hot_one(spark):
+    draw = random.Random(21)
+    hot = lambda: " ".join("".join(draw.choices("abcdefghijklm", k=6)) for _ in range(150))
+    rare = lambda: " ".join("".join(draw.choices(["no", "po", "qu", "ro"], k=3)) for _ in range(8))
+    rows = [(i, hot(), "aa", "") for i in range(400)] + [(1000 + i, rare(), "zz", "") for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    for bound in (None, 1000):
+        models = lang_id.train(docs, max_grams=bound)
+        assert sorted(models) == ["aa", "zz"]
+        held = spark.createDataFrame([(i, rare() if i % 2 else hot(), "", "") for i in range(40)], DOCS)
+        assert all(r.lang_pred == ("zz" if r.doc_id % 2 else "aa") for r in lang_id.predict(held, models).collect())
+
+
+def test_the_default_model_has_every_gram(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    data = draw.integers(33, 127, 1_300_000, dtype=np.uint8).tobytes().decode()
+    rows = [(k, data[k * 13_000 : k * 13_000 + 13_000], "aa", "") for k in range(100)] + [(500, "once only", "zz", "")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    counts = gram_counts(docs.select(F.col("lang").alias("class"), "text"), 3)
+    assert counts.count() > 1 << 19
+    models = frozen(counts, 3)
+    assert models.names == ["aa", "zz"] and len(models.blocks) > 1
+    assert sum(len(t["aa"].levels[0]["gram"]) for *_, b in models.blocks for t in [b.value]) == counts.filter("class = 'aa'").count()
+    found = {r.doc_id: r.lang_pred for r in lang_id.predict(docs, models).collect()}
+    assert found == {r[0]: r[2] for r in rows}
+
+
+def test_blocks_score_as_one_model(spark):
+    rows = [(i, t, lang) for i, t, lang, *_ in _corpus()]
+    counts = gram_counts(spark.createDataFrame(rows, "i long, text string, class string").select("class", "text"), 3)
+    one, many = frozen(counts, 3), frozen(counts, 3, block_grams=40)
+    assert len(one.blocks) == 1 and len(many.blocks) > 5 and one.names == many.names == ["aa", "bb", "cc"]
+    codes, _ = codes_of([(bytes(3), t.encode()) for _, t, _ in rows] + [(bytes(3), b"zebra \xff\0 none")], 3)
+    for method in ("ppm_bits", "blended_bits"):
+        assert np.allclose(one.scorer(method)(codes), many.scorer(method)(codes), rtol=0, atol=1e-9)
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
 
 
@@ -182,3 +229,24 @@ def test_other_urls_follow_the_models(spark):
     assert sum(r.verdict == ("allow" if k < 50 else "block") for k, r in enumerate(found)) >= 95
     only = url_filter.filter_urls(pages.filter(F.col("url").contains(".com") | F.col("url").contains(".org")), RULES)
     assert {r.verdict for r in only.collect()} == {"allow"}
+
+
+def test_a_rare_verdict_beside_a_hot_one(spark):
+    draw = random.Random(22)
+    slug = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=12))
+    rows = [f"http://good.com/en/page/{slug()}" for _ in range(3000)] * 2 + [f"http://s{i}.net/es/cheap-pills/{i}" for i in range(12)]
+    rows += [f"http://other.org/en/page/{slug()}" for _ in range(40)] + [f"http://other.org/es/cheap-pills/{i}" for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    for bound in (None, 2000):
+        found = url_filter.filter_urls(pages, RULES, max_grams=bound).filter("rule is null").orderBy("page_id").collect()
+        verdicts = [r.verdict for r in found]
+        assert verdicts[40:] == ["block"] * 40 and verdicts[:40].count("allow") >= 36, verdicts
+
+
+def test_a_verdict_only_in_the_calibrating_fifth(spark):
+    urls = [f"http://s{i}.net/es/cheap-pills/{i}" for i in range(30)]
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    tuning = frame.filter(url_filter.draw(F.col("url"), 5) == 0).first()[0]
+    rows = [f"http://good{i}.com/en/page/{i}" for i in range(50)] + [tuning, "http://other.org/es/cheap-pills/9", "http://other.org/en/page/9"]
+    found = url_filter.filter_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), RULES)
+    assert {r.page_id: r.verdict for r in found.filter("rule is null").collect()} == {51: "block", 52: "allow"}
