@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, draw, map_rows
-from .markov import Contexts, frozen, gram_counts, text_bits
+from .markov import Models, frozen, gram_counts, text_bits
 
 ORDER = 4
 STEP, REACH = 0.01, 800  # calibration histogram: differences of -8 to 8 bits for a byte
@@ -39,21 +39,21 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return name, verdict
 
 
-def _differences(urls: DataFrame, models: dict[str, Contexts], schema: str) -> DataFrame:
+def _differences(urls: DataFrame, models: Models, schema: str) -> DataFrame:
     """The columns named by ``schema``, and the bits for a byte by which ``allow`` predicts ``url`` better than ``block``."""
-    shared = urls.sparkSession.sparkContext.broadcast(models)
+    order, bits_of = models.order, models.scorer("blended_bits")
+    allow, block = models.names.index("allow"), models.names.index("block")
 
     def scored(rows):
-        allow, block = shared.value["allow"], shared.value["block"]
         keyed = ((row, url or b"") for *row, url in rows)
-        for row, bits, size in text_bits(keyed, allow.order, lambda c: [allow.blended_bits(c), block.blended_bits(c)]):
-            yield *row, float((bits[1] - bits[0]) / size) if size else 0.0
+        for row, bits, size in text_bits(keyed, order, bits_of):
+            yield *row, float((bits[block] - bits[allow]) / size) if size else 0.0
 
     columns = [field.split()[0] for field in schema.split(", ")]
     return map_rows(urls.select(*columns, F.col("url").cast("binary")), scored, f"{schema}, difference double")
 
 
-def threshold(models: dict[str, Contexts], urls: DataFrame) -> float:
+def threshold(models: Models, urls: DataFrame) -> float:
     """The difference that separates ``urls(kind, url)`` best: half-sum of both classes' hit rates, nearest to 0."""
     place = F.least(F.greatest(F.floor(F.col("difference") / STEP), F.lit(-REACH)), F.lit(REACH)).cast("int")
     rows = _differences(urls, models, "kind string").groupBy("kind", place.alias("place")).count().collect()  # at most 2 * 1601 rows
@@ -74,13 +74,14 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     order: int = ORDER,
-    max_grams: int = 1 << 19,
+    max_grams: int | None = None,
 ) -> DataFrame:
     """``(page_id, host, path, rule, verdict, difference)`` for each row of ``pages``.
 
     ``rules`` is a short list that becomes part of the query. Every rule-decided URL is counted, but for the fifth
-    (crc32 of the URL) that calibrates. Where no rule accepts anything, all other URLs are blocked,
-    where none rejects anything, allowed. A null URL has empty parts and difference 0.
+    (crc32 of the URL) that calibrates; where one verdict has no URL outside that fifth, all teach and the
+    threshold is 0. Where no rule accepts anything, all other URLs are blocked, where none rejects anything,
+    allowed. A null URL has empty parts and difference 0. ``max_grams`` bounds the models, each having its share.
     """
     host, path = url_parts(F.col("url"))
     parts = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"))
@@ -89,12 +90,15 @@ def filter_urls(
     judged = parts.withColumn("rule", name).withColumn("kind", decided)
     known = judged.filter("kind is not null")
     tuning = draw(F.col("url"), 5) == 0
-    models = frozen(gram_counts(known.filter(~tuning).select(F.col("kind").alias("class"), F.col("url").alias("text")), order), order, max_grams)
+    decided = known.groupBy("kind").agg(F.count_if(~tuning).alias("teaching")).collect()  # at most 2 rows
     columns = [F.col("id").alias(id_col), "host", "path", "rule"]
-    if len(models) < 2:
-        other = F.lit("block" if "block" in models else "allow")
+    if len(decided) < 2:
+        other = F.lit("block" if [r["kind"] for r in decided] == ["block"] else "allow")
         return judged.select(*columns, F.coalesce("kind", other).alias("verdict"), F.lit(0.0).alias("difference"))
-    cut = threshold(models, known.filter(tuning))
+    apart = all(r["teaching"] for r in decided)
+    teaching = known.filter(~tuning) if apart else known
+    models = frozen(gram_counts(teaching.select(F.col("kind").alias("class"), F.col("url").alias("text")), order), order, max_grams)
+    cut = threshold(models, known.filter(tuning)) if apart else 0.0
     scored = _differences(judged, models, "id long, host string, path string, rule string, kind string")
     method = F.when(F.col("difference") >= cut, "allow").otherwise("block")
     return scored.select(*columns, F.coalesce("kind", method).alias("verdict"), "difference")
