@@ -1,8 +1,10 @@
 """Archives, benchmark passages and the pipeline."""
 
 import hashlib
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,28 @@ def test_every_overlap_on_a_hit_diagonal_counts():
     assert [f[1:] for f in index.overlaps(cache.of(item), 13, 1.0)] == [(0, 60, 60)]
 
 
+@pytest.mark.parametrize("words, changed", [(14, 1), (15, 2), (16, 3), (20, 4), (25, 5), (30, 6)])
+def test_no_placement_of_changed_words_misses_all_masks(words, changed):
+    places = np.fromiter(itertools.chain.from_iterable(itertools.combinations(range(words), changed)), np.int64).reshape(-1, changed)
+    codes = (np.int64(1) << places).sum(1)
+    hit = np.zeros(len(codes), bool)
+    for mask in decontam.MASKS:
+        bits = sum(1 << k for k, bit in enumerate(mask) if bit == "1")
+        for at in range(words - len(mask) + 1):
+            hit |= codes & (bits << at) == 0
+    assert hit.all()
+
+
+def test_seeds_of_pieces_are_those_of_the_whole(monkeypatch):
+    draw = random.Random(14)
+    item = _words(draw, 40)
+    doc = decontam.Hashes().of(" ".join([*_words(draw, 90), *item, *_words(draw, 70)]).encode())
+    index = decontam.Index([(3, " ".join(item).encode())], 8)
+    monkeypatch.setattr(decontam, "CHUNK", 7)
+    pieces = decontam.Index([(3, " ".join(item).encode())], 8)
+    assert (pieces.keys == index.keys).all() and pieces.diagonals(doc) == index.diagonals(doc) == [[0, 90]]
+
+
 def test_no_benchmark_and_no_documents(spark):
     docs, bench = spark.createDataFrame([(1, "a b", "", "")], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert [tuple(r) for r in decontam.contamination(docs, bench).collect()] == [(1, False, [], 0)]
