@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, lang_id, packing, quality, token_counts, token_index, url_filter, warc
+from . import centroids, decontam, divergence, lang_id, packing, piece_codec, quality, token_counts, token_index, url_filter, warc
 from .common import ASCII_UPPER, draw
 from .exact_dedup import exact_duplicates
 from .near_dup import near_duplicates
@@ -83,6 +83,24 @@ def counted_tokens(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def clustered(spark, sf):
+    return centroids.with_inertia(*centroids.cluster_vectors(table(spark, sf, "embeddings"), clusters=16, rounds=3))
+
+
+def piece_round_trip(spark, sf):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_codec.encode(table(spark, sf, "documents"), path, end_id=2)
+    return piece_codec.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def source_divergence(spark, sf):
+    return divergence.divergences(table(spark, sf, "documents"), least_docs=3, top_terms=200)
+
+
 LOWER = f"translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')"
 
 NEAR_DUP_SQL = rf"""
@@ -117,6 +135,51 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM t JOIN g USING (t)
 """
 
+def _centroid_sql(rounds: int, clusters: int) -> str:
+    nearest = """a{r} AS MATERIALIZED (SELECT k, vec_id, v, m.d AS distance, m.c AS cluster FROM (
+  SELECT k, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(d := d, c := c)) AS m FROM (
+    SELECT k, vec_id, x.v, c, list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - y.v[i]) * (x.v[i] - y.v[i])))::BIGINT AS d
+    FROM x, c{r} y) GROUP BY k))"""
+    moved = """s{r} AS (SELECT cluster, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY ALL),
+m{r} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY cluster),
+c{n} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM c{r} o LEFT JOIN m{r} m ON m.cluster = c)"""
+    turns = ",\n".join(f"{nearest.format(r=r)},\n{moved.format(r=r, n=r + 1)}" for r in range(rounds))
+    return f"""
+WITH fit AS MATERIALIZED (SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+x AS MATERIALIZED (SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM fit),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM x ORDER BY c LIMIT {clusters}),
+{turns},
+{nearest.format(r=rounds)}
+SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(y.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} y ON y.c = cluster
+"""
+
+
+DIVERGENCE_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+n AS (SELECT k, lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n)::BIGINT AS total FROM n GROUP BY ALL HAVING count(*) >= 3),
+l AS (SELECT lang, count(*) AS size, sum(total)::BIGINT AS whole FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, sum(n)::BIGINT AS n FROM n SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+o AS (SELECT lang, source, sum(n)::BIGINT AS own FROM c GROUP BY ALL),
+p AS MATERIALIZED (SELECT g.lang, g.source, term, coalesce(n, 0) AS n,
+    1 + 1000000000 * (coalesce(n, 0) + 1) // (coalesce(own, 0) + size) AS p, 1 + 1000000000 * (total + 1) // (whole + size) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN o USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a
+  JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM part QUALIFY part = 'pair' OR rank <= 200
+"""
+
 QUERIES = {
     "op1_minhash_near_dedup": near_dup,
     "op2_warc": warc_archive,
@@ -128,5 +191,14 @@ QUERIES = {
     "op8_best_fit_packing": packed,
     "op9_url_filters": url_filters,
     "op10_token_counts": counted_tokens,
+    "op11_centroid_clustering": clustered,
+    "op12_piece_codec": piece_round_trip,
+    "op13_source_divergence": source_divergence,
+}
+ORACLES = {
+    "op1_minhash_near_dedup": NEAR_DUP_SQL,
+    "op2_warc": WARC_SQL,
+    "op3_exact_dedup": EXACT_SQL,
+    "op11_centroid_clustering": _centroid_sql(rounds=3, clusters=16),
+    "op13_source_divergence": DIVERGENCE_SQL,
 }
-ORACLES = {"op1_minhash_near_dedup": NEAR_DUP_SQL, "op2_warc": WARC_SQL, "op3_exact_dedup": EXACT_SQL}
