@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, ship, stored
+from .common import ship, sliced, stored
 
 TERM = re.compile(rb"[a-z\x80-\xff]+")  # after lower-casing: every run of letters A-Z and signs beyond ASCII
 SLICE = 1 << 22  # bytes of a text that are cut into words at a time
-HELD = 300_000  # counts that a task holds before it hands them on
+HELD = 600_000  # terms of groups that a task holds before it hands them on
+HANDED = 20_000
 UNIT = 1_000_000_000
 
 
@@ -36,34 +38,40 @@ def _words(text: bytes):
         start = end
 
 
-def _counted(rows):
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (lang, source, text) to ``(lang, source, term, n, docs)``, added up within the task; an empty term names a group."""
     counts: dict = defaultdict(Counter)
     holders: dict = defaultdict(Counter)
     held = 0
 
     def out():
-        for group, terms in counts.items():
-            docs = holders[group]
-            yield *group, "", 0, 0
-            for term, n in terms.items():
-                yield *group, term.decode("utf-8", "replace"), n, docs[term]
+        for (lang, source), terms in counts.items():
+            names, docs = [b"", *terms], holders[lang, source]
+            for start in range(0, len(names), HANDED):
+                part = names[start : start + HANDED]
+                n, d = ([kind[t] for t in part] for kind in (terms, docs))  # a Counter gives 0 for the empty term
+                columns = [pa.array([lang]).take(pa.array([0] * len(part))), pa.array([source]).take(pa.array([0] * len(part)))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(part, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64())],
+                    names=["lang", "source", "term", "n", "docs"],
+                )
         counts.clear()
         holders.clear()
 
-    for lang, source, text in rows:
-        group = lang, source
-        terms, docs = counts[group], holders[group]
-        held -= len(terms)
-        seen: set = set()
-        for words in _words(text.lower()):
-            terms.update(words)
-            seen.update(words)
-        docs.update(seen)
-        held += len(terms)
-        if held > HELD:
-            yield from out()
-            held = 0
+    for batch in sliced(batches, 256):
+        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
+            group = lang, source
+            terms, docs = counts[group], holders[group]
+            held -= len(terms)
+            seen: set = set()
+            for words in _words(text.lower()):
+                terms.update(words)
+                seen.update(words)
+            docs.update(seen)
+            held += len(terms)
+            if held > HELD:
+                yield from out()
+                held = 0
     yield from out()
 
 
@@ -79,7 +87,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
     """
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
     texts = docs.select(fields[0].alias("lang"), fields[1].alias("source"), fields[2].cast("binary").alias("text"))
-    found = map_rows(texts, _counted, "lang string, source string, term string, n long, docs long", flush=20_000)
+    found = texts.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 

@@ -10,6 +10,7 @@ position with no piece left is marked in a bitfield and never tried again.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,7 +24,7 @@ from .tokens import Recent
 
 MARK = "▁"  # how pieces write a blank
 CUTS = re.compile(r"\n|▁*[^▁\n]+|▁+")
-STRETCHES, PAIRS = 200_000, 200_000  # bounds of a worker's caches
+STRETCHES, PAIRS = 300_000, 300_000  # bounds of a worker's caches
 LONGEST = 64  # signs of a stretch that is remembered
 
 
@@ -50,7 +51,8 @@ class PieceCodec:
         self.ids = {self.pieces[i]: i for i in named}
         self.rank = {self.pieces[i]: -model.get_score(i) for i in named if len(self.pieces[i]) > 1}
         signs = {sign for piece in self.ids for sign in piece}
-        found = sorted(signs | {p for p in self.rank if self._merged(p) == [p]}, key=len)
+        self.halves = {p: made for p in self.rank if (made := self._last_merge(p))}
+        found = sorted(signs | set(self.halves), key=len)
         self.matches = ahocorasick.Automaton()
         self.shorter: dict[str, str | None] = {}
         for piece in found:  # shorter ones come first
@@ -59,7 +61,7 @@ class PieceCodec:
         self.matches.make_automaton()
         self.foreign = re.compile("([^" + "".join(map(re.escape, sorted(signs))) + "])")
         self.cuts = "\n" not in signs and not any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.beside = Recent(lambda pair: self._merged("".join(pair)) == list(pair), PAIRS)
+        self.beside = Recent(self._stands_beside, PAIRS)
         self.known = Recent(self._stretch, STRETCHES)
         written = [self._surface(i) for i in ids]
         self.sizes = np.array([len(w) for w in written], np.int64)
@@ -67,53 +69,77 @@ class PieceCodec:
         self.written = np.frombuffer(b"".join(written), np.uint8)
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
 
-    def _merged(self, text: str) -> list[str]:
-        """The merges themselves, for texts of a few signs: best score first, the leftmost of equals."""
-        parts = list(text)
-        while True:
+    def _last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that the merges join last to make a piece: best score first, the leftmost of equals."""
+        parts, last = list(piece), 0.0
+        while len(parts) > 1:
             ranks = [(rank, i) for i, pair in enumerate(zip(parts, parts[1:])) if (rank := self.rank.get(pair[0] + pair[1])) is not None]
-            if not ranks:
-                return parts
-            at = min(ranks)[1]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if not ranks or ranks[0][0] < last:
+                return None  # the merges never make it
+            last, at = min(ranks)
+            pair = parts[at], parts[at + 1]
+            parts[at : at + 2] = ["".join(pair)]
+        return pair
+
+    def _stands_beside(self, pair: tuple[str, str]) -> bool:
+        """Whether the merges of two pieces' signs end in just these two: no merge across their border comes before one that they are made by.
+
+        Takes back the merges next to the border, the last one first (of equal scores the right one).
+        """
+        left, right = pair
+        before = float("inf")
+        while True:
+            across = self.rank.get(left + right)
+            if across is not None and across < before:
+                return False
+            of_left, of_right = (self.rank[x] if len(x) > 1 else -1.0 for x in (left, right))
+            if of_left > of_right:
+                before, left = of_left, self.halves[left][1]
+            elif of_right < 0:
+                return True
+            else:
+                before, right = of_right + 0.5, self.halves[right][0]  # of equals the merge across stands further left
 
     def _taken_apart(self, text: str) -> list[str]:
         """Pieces of a text all of whose signs occur in pieces."""
-        longest: list[str] = [""] * len(text)
-        for end, piece in self.matches.iter(text):  # ends ascend, so the longest match of a start comes last
-            longest[end + 1 - len(piece)] = piece
         failed = bytearray(len(text) // 8 + 1)
-        beside, shorter = self.beside, self.shorter
+        beside, shorter, length = self.beside, self.shorter, len(text)
         out: list[str] = []
-        at, piece = 0, longest[0]
-        while at < len(text):
-            before = out[-1] if out else None
-            while piece is not None:
+        at, due, longest = 0, -1, iter(())
+        before: str | None = None
+        while at < length:
+            if at != due:  # not where the longest match before ended
+                longest = self.matches.iter_long(text, at)
+            last, piece = next(longest)
+            due = last + 1
+            while True:
                 end = at + len(piece)
                 if not failed[end >> 3] >> (end & 7) & 1 and (before is None or beside[before, piece]):
+                    out.append(piece)
+                    at, before = end, piece
                     break
                 piece = shorter[piece]
-            if piece is None:  # nothing stands here: give the position up and shorten the piece before
-                failed[at >> 3] |= 1 << (at & 7)
-                piece = out.pop()
-                at -= len(piece)
-                continue
-            out.append(piece)
-            at = end
-            piece = longest[at] if at < len(text) else ""
+                while piece is None:  # nothing stands here: give the position up and shorten the piece before
+                    failed[at >> 3] |= 1 << (at & 7)
+                    at -= len(before)
+                    piece = shorter[out.pop()]
+                    before = out[-1] if out else None
         return out
 
     def _stretch(self, text: str) -> bytes:
         """Ids of a part of a text that no piece crosses the ends of."""
         ids: list[int] = []
         for k, part in enumerate(self.foreign.split(text)):
-            for piece in [part] if k % 2 else self._taken_apart(part) if part else []:
+            for piece in [part] if k % 2 else self._taken_apart(part):
                 known = self.ids.get(piece)
-                ids.extend([self.byte_ids[b] for b in piece.encode()] if known is None else [known])
-        return np.array(ids, "<i4").tobytes()
+                if known is None:
+                    ids.extend([self.byte_ids[b] for b in piece.encode()])
+                else:
+                    ids.append(known)
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers; none for an empty text."""
+        """Ids as 32-bit integers; none for an empty text."""
         if not text:
             return b""
         marked = MARK + text.replace(" ", MARK)
@@ -181,14 +207,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     table gives an empty result; other columns are not read.
     """
     ship(docs.sparkSession)
-    end = b"" if end_id is None else np.array([end_id], "<i4").tobytes()
+    end = b"" if end_id is None else np.array([end_id], np.int32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in sliced(batches, 256):
             encoded = [own.encode(t.decode("utf-8", "replace") if t else "") + end for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0] + [len(e) // 4 for e in encoded]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "ids"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
