@@ -136,7 +136,8 @@ _XML_COLUMNS = """
 SELECT record_type, string_agg(DISTINCT c, '|' ORDER BY c) AS columns FROM (
   SELECT record_type, unnest(['key', 'mdate', 'author', 'author-orcid', 'title', 'i', 'year', 'cite']) AS c FROM papers
   UNION ALL SELECT record_type, CASE record_type WHEN 'article' THEN 'journal' ELSE 'booktitle' END
-  FROM papers WHERE booktitle IS NOT NULL) GROUP BY record_type"""
+  FROM papers WHERE booktitle IS NOT NULL
+  UNION ALL SELECT record_type, 'note' FROM papers WHERE num % 9 = 0) GROUP BY record_type"""
 
 _CITED = _key("CAST(floor(num / 2) AS BIGINT)")
 

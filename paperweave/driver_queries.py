@@ -147,9 +147,7 @@ def citation_subset(spark, sf):
 
 def citation_subset_xml(spark, sf):
     """From the dump itself: citation pairs, the keys on either side, and their records."""
-    records = _written_xml(spark, sf)
-    keyed = records.select("record_type", F.try_element_at(xml.cell_values("key"), F.lit(1)).alias("key"))
-    return rel.citation_subset(keyed, xml.citation_pairs(records)).select("record_type", "key")
+    return bib.cited_or_citing_records(_written_xml(spark, sf)).select("record_type", "key")
 
 
 def project_distinct_notnull(spark, sf):

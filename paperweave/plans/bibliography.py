@@ -12,14 +12,15 @@ from ..operators.entities import assign_affiliations, assign_reviewers, dense_id
 from ..operators.keywords import keywords_topk, venue_last_mention
 from ..operators.relational import (
     authorship,
+    citation_subset,
     coerce_year,
     lead_coauthor_split,
     project_distinct_notnull,
     trim_all,
     union_all,
 )
-from ..session import cut_lineage
-from ..sources.xml_records import discover_columns, long_cells, read_xml_records, wide_table
+from ..session import cut_lineage, stored
+from ..sources.xml_records import cell_values, citation_pairs, discover_columns, long_cells, read_xml_records, wide_table
 
 REVIEW_TEXT = "Reviewer drawn at random; no remarks."
 
@@ -79,6 +80,16 @@ def authors_affiliation(
     )
 
 
+def cited_or_citing_records(records: DataFrame, key: str = "key", cite: str = "cite") -> DataFrame:
+    """``record_type, key, cites`` of the records of a dump that cite or are cited; the dump is parsed once."""
+    slim = records.select(
+        "record_type", F.try_element_at(cell_values(key), F.lit(1)).alias("key"), cell_values(cite).alias("cites"),
+        F.filter("cells", lambda c: c["column"].isin(key, cite)).alias("cells"),
+    )
+    slim = stored(slim, "cited")
+    return citation_subset(slim.drop("cells"), citation_pairs(slim, key, cite))
+
+
 @dataclass
 class XmlTables:
     """Typed tables of an XML dump."""

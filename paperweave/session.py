@@ -64,6 +64,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, keeps columns apart, and gives joins an exact size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cache with spill to disk; lost blocks are recomputed from lineage."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -257,7 +257,10 @@ TYPED_COLUMNS = {
 
 
 def bibliography_xml(spark: SparkSession, sf: str) -> DataFrame:
-    """``value``: every paper as an XML record with attributes, repeats and mixed content."""
+    """``value``: every paper as an XML record with attributes, repeats and mixed content.
+
+    Some are followed by a comment that holds whole records, some have tags of records in a CDATA section.
+    """
     papers = bibliography(spark, sf, "papers")
     authors = F.transform(
         F.split("author", "[|]"),
@@ -280,9 +283,10 @@ def bibliography_xml(spark: SparkSession, sf: str) -> DataFrame:
             element("year", F.trim("year")),
             maybe(F.col("journal").isNotNull() & is_article, element("journal", F.coalesce("journal", F.lit("")))),
             maybe(F.col("booktitle").isNotNull() & ~is_article, element("booktitle", F.coalesce("booktitle", F.lit("")))),
-            maybe(F.col("num") % 9 == 0, F.lit("<ee/><note></note>")),
+            maybe(F.col("num") % 9 == 0, F.lit("<ee/><note><![CDATA[see </article> <inproceedings key='x'> & <!-- more]]></note>")),
             element("cite", cited),
             maybe(F.col("num") % 10 == 0, F.lit("\n<cite>...</cite>")),
             F.lit("</"), "record_type", F.lit(">"),
+            maybe(F.col("num") % 14 == 0, F.lit('\n<!-- <article key="c/1"><title>c</title></article>\n<article key="c/2"><author>c</author></article> -->')),
         ).alias("value")
     )
