@@ -144,8 +144,8 @@ def near_duplicates(
     100 * intersection >= percent * union. ``component_id`` is the smallest id reachable over
     links, ``kept`` marks the row that carries it.
 
-    Every bucket is first compared with its leader only, then for ``star_rounds`` rounds one member
-    of each component in the bucket with one of the first component; sets of a bucket that
+    Every set is first compared with one leader of its buckets only, that of the most tables; then for ``star_rounds`` rounds
+    one member of each component in a bucket with one of the first component; sets of a bucket that
     are still in different components after that are all compared, block by block. So no
     link between sets that meet in a table is lost.
 
@@ -175,7 +175,10 @@ def near_duplicates(
     buckets = stored(_bucket_members(groups.select(F.explode(F.expr(table_keys)).alias("key"), "member", "size")), "members")
 
     fits, columns = _pairs("leader", "member", "leader_size", "size", percent)
-    pairs = stored(buckets.filter(fits).select(*columns).distinct(), "pairs")
+    met = buckets.filter(fits).groupBy("member", "leader").agg(F.count("*").alias("tables"))
+    best = met.groupBy("member").agg(F.max(F.struct("tables", "leader")).alias("best"))
+    chosen = best.select(F.col("member"), F.col("best.leader").alias("leader"))
+    pairs = stored(chosen.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")).distinct(), "pairs")
     wanted = stored(buckets.filter("member <> leader").select("member").union(
         buckets.filter("member <> leader").select("leader")).distinct(), "wanted")
     sets = stored(

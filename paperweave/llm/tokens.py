@@ -19,7 +19,7 @@ BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 WORD_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 BLANKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 LATIN = "ɐ"  # below it letters, digits and lower case are the same everywhere
-CACHE = 300_000
+CACHE = 500_000
 
 
 def _byte_signs() -> dict[int, str]:
@@ -84,7 +84,7 @@ class Encoder:
         return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
 
     def _bare(self, text: str) -> bytes:
-        if max(text) >= LATIN:
+        if not text.isascii() and max(text) >= LATIN:
             return self._whole(text)
         if self.lowers:
             low = text.lower()
