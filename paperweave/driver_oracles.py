@@ -451,6 +451,27 @@ def _authors_of(kind: str) -> str:
     return _on_papers(f"SELECT key, author, CASE WHEN is_lead THEN 'lead' ELSE 'co' END AS part FROM auth WHERE record_type = '{kind}'")
 
 
+_TYPED_RECORDS = ("r", "SELECT row_number() OVER (ORDER BY record_type, key) - 1 AS id, * FROM papers")
+_TYPED_HEADER = "id:integer;author:string[];author-orcid:integer[];{before}cite:string{many};i:string;{after}key:string;mdate:date;note:string;title:string;year:string"
+_RELATION_NODES = [
+    ("n1", "SELECT author AS v, (SELECT count(*) FROM papers) + row_number() OVER (ORDER BY author) - 1 AS no FROM (SELECT DISTINCT author FROM auth0)"),
+    ("n2", """SELECT v, (SELECT max(no) FROM n1) + row_number() OVER (ORDER BY v) AS no FROM (SELECT DISTINCT trim(year) AS v FROM papers)"""),
+]
+_TYPED_TABLES = f"""
+SELECT 'cell' AS part, record_type AS kind, id, unnest(['key', 'year', 'mdate', 'author']) AS name,
+  unnest([key, trim(year), '2020-01-01', array_to_string(list_sort(string_split(author, '|')), '|')]) AS value FROM r
+UNION ALL SELECT 'header', 'article', NULL, '', '{_TYPED_HEADER.format(before='', many='', after='journal:string;')}'
+UNION ALL SELECT 'header', 'inproceedings', NULL, '', '{_TYPED_HEADER.format(before='booktitle:string;', many='[]', after='')}'
+UNION ALL SELECT 'node', 'author', no, '', v FROM n1
+UNION ALL SELECT 'node', 'year', no, '', v FROM n2
+UNION ALL SELECT 'edge', 'author', id, '', no::VARCHAR FROM r JOIN auth0 USING (key) JOIN n1 ON v = auth0.author
+UNION ALL SELECT 'edge', 'year', id, '', no::VARCHAR FROM r JOIN n2 ON v = trim(year)"""
+
+_DICTIONARY = [
+    ("l", "SELECT author, min(CASE WHEN num % 3 = 0 THEN 1 WHEN num % 7 < 4 THEN 2 ELSE 3 END) AS l FROM auth0 GROUP BY author"),
+    ("n", "SELECT author, 99 + row_number() OVER (ORDER BY l, author) AS no FROM l"),
+]
+
 ORACLES = {
     "xml_records": _on_papers(_XML_RECORDS),
     "schema_discovery": _on_papers(_XML_COLUMNS),
@@ -523,6 +544,12 @@ ORACLES = {
     "xml_to_tables": _ctes(PAPERS, body=f"""SELECT row_number() OVER (ORDER BY record_type, key) - 1 AS id, key,
         array_to_string(list_sort(string_split(author, '|')), '|') AS author, concat('R&D ', title, ' ') AS title, trim(year) AS year,
         CASE WHEN num % 10 = 0 THEN '...|' ELSE '' END || {_CITED} AS cite, record_type FROM papers"""),
+    "xml_typed_tables": _on_papers(_TYPED_TABLES, _TYPED_RECORDS, *_RELATION_NODES),
+    "id_dictionary_second_load": _on_papers("""SELECT 'node' AS part, no AS a, author AS b FROM n
+        UNION ALL SELECT 'edge', num, CAST(no AS VARCHAR) FROM auth0 JOIN n USING (author)""", *_DICTIONARY),
+    "graph_merge_incremental": _ctes(*_GRAPH_CTES, body=f"""SELECT part, kind, a, CASE WHEN part = 'node' AND kind = 'Paper' THEN title ELSE b END AS b
+        FROM ({_LOADS['conferences']} UNION {_LOADS['journals']} UNION {_LOADS['authors']}) LEFT JOIN papers ON a = 'Paper:' || key
+        WHERE a IS NOT NULL AND b IS NOT NULL"""),
     "graph_build": _ctes(*_trade(), _MONEY, _BUILT, body="SELECT id, value FROM built"),
     "triplets": _ctes(*_trade(), _MONEY, _BUILT, body="SELECT src, dst, weight, a.value AS src_value, b.value AS dst_value FROM e JOIN built a ON a.id = src JOIN built b ON b.id = dst"),
     "graph_max_value": _ctes(_MONEY, body="SELECT max(value) AS max_value FROM money"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import views
 from .functions.cells import class_iri, join_cell, mint_iri
@@ -11,6 +12,7 @@ from .functions.value_types import infer_column_types, infer_value_types, typed_
 from .operators import relational as rel
 from .operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize
 from .operators.graph import graph_build, triplets
+from .operators.id_dictionary import IdDictionary
 from .operators.keywords import keywords_topk, tokens, venue_last_mention
 from .operators.ontology import DEFAULT_NAMESPACE, tbox_triples
 from .operators.pagerank import pagerank, pagerank_sweep, top_ranked
@@ -24,6 +26,7 @@ from .plans import property_graph as pg
 from .session import cut_lineage, scratch_path
 from .sources import delimited, graph_files
 from .sources import xml_records as xml
+from .sources.keyed_store import KeyedStore
 
 NS = DEFAULT_NAMESPACE
 SOURCE = "C0"
@@ -455,11 +458,67 @@ def relation_tables(spark, sf):
 def xml_to_tables(spark, sf):
     path = scratch_path(spark, "xml")
     views.bibliography_xml(spark, sf).write.text(path)
-    made = bib.xml_to_tables(spark, path, ["article", "inproceedings"])
+    made = bib.xml_to_tables(spark, path, ["article", "inproceedings"], typed=False)
     columns = ["id", "key", "author", "title", "year", "cite"]
     return rel.union_all([t.select(*columns, F.lit(n).alias("record_type")) for n, t in made.tables.items()])
 
 
+def xml_typed_tables(spark, sf):
+    """Typed cells, headers, and the nodes and edges of two relations, each as ``part, kind, id, name, value``."""
+    path = scratch_path(spark, "xml")
+    views.bibliography_xml(spark, sf).write.text(path)
+    key = F.try_element_at(xml.cell_values("key"), F.lit(1))
+    made = bib.xml_to_tables(spark, path, ["article", "inproceedings"], relations=["author", "year"], key=key)
+    parts = []
+
+    def add(df, part, kind, identity, name, value):
+        parts.append(df.select(F.lit(part).alias("part"), F.lit(kind).alias("kind"), identity.cast("long").alias("id"), name.alias("name"), value.cast("string").alias("value")))
+
+    for kind, table in made.tables.items():
+        fields = {f.name: f.dataType for f in table.schema.fields}
+        if not isinstance(fields["author"], T.ArrayType) or not isinstance(fields["mdate"], T.DateType):
+            raise ValueError(f"types of {kind}: {fields}")
+        older = F.date_add("mdate", -1)  # works on the type, not on the text
+        cells = {"key": F.col("key"), "year": F.col("year"), "mdate": older, "author": F.array_join("author", "|")}
+        for name, value in cells.items():
+            add(table.filter(value.isNotNull()), "cell", kind, F.col("id"), F.lit(name), value)
+    headers = made.headers
+    parts.append(headers.select(F.lit("header").alias("part"), F.col("record_type").alias("kind"), F.lit(None).cast("long").alias("id"), F.lit("").alias("name"), F.col("header").alias("value")))
+    for relation in made.nodes:
+        add(made.nodes[relation], "node", relation, F.col("node_id"), F.lit(""), F.col("value"))
+        add(made.edges[relation], "edge", relation, F.col("start_id"), F.lit(""), F.col("end_id"))
+    return rel.union_all(parts)
+
+
+def id_dictionary_second_load(spark, sf):
+    """Ids of authors after a load of some papers and one of all."""
+    papers = _papers(spark, sf)
+    ids = IdDictionary(spark, scratch_path(spark, "ids"), start=100, buckets=8)
+    ids.extend(rel.explode_multivalue(papers.filter("num % 3 = 0").select("author"), "author"), "author")
+    ids.extend(rel.explode_multivalue(papers.filter("num % 3 = 0 OR num % 7 < 4").select("author"), "author"), "author")
+    authors = rel.explode_multivalue(papers.select("num", "author"), "author")
+    ids.extend(authors, "author")
+    edges = ids.edges(authors, "num", "author")
+    nodes = ids.read().select(F.lit("node").alias("part"), F.col("node_id").alias("a"), F.col("value").alias("b"))
+    return nodes.union(edges.select(F.lit("edge"), "start_id", F.col("end_id").cast("string")))
+
+
+def graph_merge_incremental(spark, sf):
+    """A graph that two overlapping loads were merged into, nodes and edges; the second brings the papers' titles."""
+    papers = views.stored_papers(spark, sf)
+    nodes = KeyedStore(spark, scratch_path(spark, "nodes"), ["label", "id"], pg.merge_nodes, buckets=8)
+    edges = KeyedStore(spark, scratch_path(spark, "edges"), ["type", "src", "dst"], pg.merge_edges, buckets=8)
+    for part in ("num % 3 = 0", "num % 3 > 0 OR num % 5 = 0"):
+        half = papers.filter(part)
+        loads = [_load(n, half, spark, sf) for n in ("conferences", "journals", "conference_authors", "journal_authors")]
+        titled = [pg.node_rows(papers, pg.node("Paper", {"key": F.col("key")}, title=F.col("title")))] if "OR" in part else []
+        nodes.load(rel.union_all([x.nodes for x in loads] + titled))
+        edges.load(rel.union_all([x.edges for x in loads]))
+    shown = F.when(F.col("label") == "Paper", F.col("title")).otherwise(F.lit(""))
+    found = nodes.read().select(F.lit("node").alias("part"), F.col("label").alias("kind"), F.col("id").alias("a"), shown.alias("b"))
+    return found.union(edges.read().select(F.lit("edge"), "type", "src", "dst"))
+
+
 # Graph analytics
 
 
@@ -634,6 +693,9 @@ QUERIES = {
     "relation_normalize": relation_tables,
     "dense_ids": dense_id_rows,
     "xml_to_tables": xml_to_tables,
+    "xml_typed_tables": xml_typed_tables,
+    "id_dictionary_second_load": id_dictionary_second_load,
+    "graph_merge_incremental": graph_merge_incremental,
     "graph_build": graph_build_vertices,
     "triplets": triplet_rows,
     "graph_max_value": graph_max,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.value_types import infer_column_types, typed_headers
+from ..functions.value_types import infer_column_types, typed_headers, typed_values
 from ..operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize, reviewer_cells
 from ..operators.keywords import keywords_topk, venue_last_mention
 from ..operators.relational import (
@@ -109,11 +109,14 @@ def xml_to_tables(
     key: Column | None = None,
     separator: str | None = None,
     entities: dict[str, str] | None = None,
+    typed: bool = True,
 ) -> XmlTables:
     """Wide table with running ids per record type, typed headers, and relation tables.
 
     Ids run 0, 1, … over all record types in ``(record_type, key)`` order;
-    relation nodes continue the sequence.  The dump is parsed once.
+    relation nodes continue the sequence.  The dump is parsed once. Columns have the types
+    of the headers, columns with several values in a record are sorted arrays; a value that its type can't hold is null.
+    With ``typed=False`` all cells are text, several values in one cell.
     """
     key = key if key is not None else F.element_at(F.col("cells"), 1)["value"]
     parsed = read_xml_records(spark, path, record_types, separator, entities)
@@ -121,11 +124,16 @@ def xml_to_tables(
         dense_ids(parsed.withColumn("_key", key), ["record_type", "_key"], "id").drop("_key")
     )
     columns = {r["record_type"]: r["columns"] for r in discover_columns(records).collect()}
-    types = infer_column_types(long_cells(records))
+    types = cut_lineage(infer_column_types(long_cells(records)))
+    kinds = {(r["record_type"], r["column"]): (r["type"], r["is_multi"]) for r in types.collect()}  # a row for each column
     tables = {}
     for record_type, names in columns.items():
         one = records.filter(F.col("record_type") == record_type)
-        tables[record_type] = wide_table(one, record_type, names, ids=["id"])
+        if typed:
+            cells = [typed_values(cell_values(n), *kinds[record_type, n]).alias(n) for n in names]
+            tables[record_type] = one.select("id", *cells)
+        else:
+            tables[record_type] = wide_table(one, record_type, names, ids=["id"])
     nodes, edges = {}, {}
     start = records.count()
     for column in relations or []:
