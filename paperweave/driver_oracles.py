@@ -564,7 +564,8 @@ ORACLES = {
         SELECT CASE WHEN p = '{RDF_TYPE}' THEN o ELSE p END AS s, count(*) AS n FROM abox GROUP BY 1) u ON u.s = t.s"""),
     "props_of_domain": _ctes(*_KG, _TBOX, _ALL, body=_domains("Author")),
     "props_of_domains": _ctes(*_KG, _TBOX, _ALL, body=_domains("Conference", "Journal")),
-    "ntriples_roundtrip": _ctes(*_KG, _TBOX, _ALL, body=_LINE.replace("FROM abox", "FROM triples")),
+    "ntriples_roundtrip": _ctes(*_KG, _TBOX, _ALL, body=_LINE.replace("FROM abox", "FROM triples") + rf"""
+        UNION ALL SELECT '<{NS}odd/' || replace(n_name, ' ', '\u0020') || '\u0020a\u003Eb\u000A\u003C\u0022\u005Cé👍> <{RDF_TYPE}> <{NS}\u007Bx\u007D> .' FROM nation"""),
     "abox_from_csv": _ctes(*_KG, body="SELECT s, p, o, o_is_literal FROM abox"),
     "abox_triples": _ctes(*_KG, body="SELECT s, p, o, o_is_literal FROM abox"),
     "author_titles": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more="")),

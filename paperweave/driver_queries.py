@@ -337,9 +337,10 @@ def _loads(spark, sf, *names: str) -> list[pg.Load]:
     return [_load(n, papers, spark, sf) for n in names]
 
 
-def _entity_nodes(spark, sf) -> DataFrame:
+def _entity_nodes(spark, sf, papers: DataFrame | None = None) -> DataFrame:
     """Paper and Author nodes, the ends that reviews and citations must match."""
-    loads = _loads(spark, sf, "conference_authors", "journal_authors")
+    papers = views.stored_papers(spark, sf) if papers is None else papers
+    loads = [_load(n, papers, spark, sf) for n in ("conference_authors", "journal_authors")]
     return cut_lineage(rel.union_all([x.nodes for x in loads]).select("label", "id").distinct())
 
 
@@ -371,8 +372,8 @@ def load_places(spark, sf):
     return _load_summary(*_loads(spark, sf, "places"))
 
 
-def _graph(spark, sf) -> pg.Load:
-    papers = views.stored_papers(spark, sf)
+def _graph(spark, sf, papers: DataFrame | None = None) -> pg.Load:
+    papers = views.stored_papers(spark, sf) if papers is None else papers
     loads = [_load(n, papers, spark, sf) for n in LOADS]
     authors = cut_lineage(rel.authorship(papers).select("author").distinct())
     known = authors.select(F.lit("Author").alias("label"), pg.node_id("Author", F.col("author")).alias("id"))
@@ -393,10 +394,11 @@ def nodes_paper(spark, sf):
 
 def edges_all(spark, sf):
     """All eleven edge types; reviews and citations only between nodes of the graph."""
-    ends = _entity_nodes(spark, sf)
-    reviews = pg.review_edges(bib.generate_reviews(_papers(spark, sf)), ends)
+    papers = views.stored_papers(spark, sf)
+    ends = _entity_nodes(spark, sf, papers)
+    reviews = pg.review_edges(bib.generate_reviews(papers), ends)
     cited = pg.citation_edges(views.bibliography(spark, sf, "citations").filter("cite != '...'"), ends)
-    return pg.merge_edges(_graph(spark, sf).edges, reviews, cited).select("type", "src", "dst", "is_lead")
+    return pg.merge_edges(_graph(spark, sf, papers).edges, reviews, cited).select("type", "src", "dst", "is_lead")
 
 
 def edges_writes(spark, sf):
@@ -622,9 +624,12 @@ def abox_from_csv(spark, sf):
 
 
 def ntriples_roundtrip(spark, sf):
-    """Ontology and data as N-Triples files, read back line by line."""
+    """Ontology and data as N-Triples files, read back line by line; some subjects hold signs that IRIs may not."""
     path = scratch_path(spark, "nt")
-    graph_files.write_ntriples(kg.knowledge_graph(spark, views.knowledge_tables(spark, sf), NS), path)
+    odd = F.concat(F.lit(NS + "odd/"), "n_name", F.lit(' a>b\n<"\\é👍'))
+    nations = views.table(spark, sf, "nation").select(odd.alias("s"), F.lit(RDF_TYPE).alias("p"), F.lit(NS + "{x}").alias("o"), F.lit(False).alias("o_is_literal"))
+    triples = kg.knowledge_graph(spark, views.knowledge_tables(spark, sf), NS).select("s", "p", "o", "o_is_literal")
+    graph_files.write_ntriples(triples.unionByName(nations), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

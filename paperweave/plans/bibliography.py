@@ -36,6 +36,8 @@ def extract_journals(records: DataFrame) -> DataFrame:
 
 
 def _with_keywords(papers: DataFrame, **keyword_options) -> DataFrame:
+    """The papers are read for counts, terms and the final join, so they are written once."""
+    papers = stored(papers, "distinct-papers")
     cells = keywords_topk(papers.select("key", "title"), "key", "title", **keyword_options)
     return papers.join(cells, "key", "left")
 

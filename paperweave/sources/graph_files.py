@@ -25,9 +25,21 @@ def _escaped(text: Column) -> Column:
     return text
 
 
+# What the grammar of N-Triples keeps out of IRIs unless it is written as \\uXXXX.
+_NOT_IN_IRI = r'[\x00-\x20<>"{}|^`\\]'
+
+
+def _iri(text: Column) -> Column:
+    def sign(c: Column) -> Column:
+        return F.when(c.rlike(_NOT_IN_IRI), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c)
+
+    signs = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return F.when(text.rlike(_NOT_IN_IRI), F.array_join(F.transform(signs, sign), "")).otherwise(text)
+
+
 def ntriples_lines(triples: DataFrame) -> DataFrame:
-    """One N-Triples line per row of ``s, p, o, o_is_literal``."""
-    iri = lambda c: F.concat(F.lit("<"), F.col(c), F.lit(">"))
+    """One N-Triples line per row of ``s, p, o, o_is_literal``, whatever signs the IRIs hold."""
+    iri = lambda c: F.concat(F.lit("<"), _iri(F.col(c)), F.lit(">"))
     obj = F.when(F.col("o_is_literal"), F.concat(F.lit('"'), _escaped(F.col("o")), F.lit('"')))
     return triples.select(
         F.concat_ws(" ", iri("s"), iri("p"), obj.otherwise(iri("o")), F.lit(".")).alias("line")

@@ -251,3 +251,27 @@ def test_pairs_and_ntriples(spark, tmp_path, rows):
     assert rows(graph_files.read_pairs(spark, str(tmp_path / "g.txt"))) == [("1", "A\tB"), ("2", "C")]
     triples = spark.createDataFrame([("s", "p", 'a"b\\c\nd', True), ("s", "p", "o", False)], "s string, p string, o string, o_is_literal boolean")
     assert rows(graph_files.ntriples_lines(triples)) == [('<s> <p> "a\\"b\\\\c\\nd" .',), ("<s> <p> <o> .",)]
+
+
+def test_iris_are_escaped(spark):
+    triples = spark.createDataFrame([('a b>c\n👍"', "p", "{x}\\é", False)], "s string, p string, o string, o_is_literal boolean")
+    line = graph_files.ntriples_lines(triples).first()["line"]
+    assert line == "<a\\u0020b\\u003Ec\\u000A👍\\u0022> <p> <\\u007Bx\\u007D\\u005Cé> ."
+
+
+def test_typed_tables(spark, tmp_path):
+    text = (
+        "<d><item key='k1'><n>1</n><n>22</n><f>1</f><day>2020-02-03</day><ok>TRUE</ok><mix>a</mix><big>12345678901234567890</big></item>"
+        "<item key='k2'><f>2.5</f><mix>7</mix><at>2020-02-03 10:20</at></item></d>"
+    )
+    (tmp_path / "typed.xml").write_text(text)
+    key = F.try_element_at(xml.cell_values("key"), F.lit(1))
+    made = xml_to_tables(spark, str(tmp_path / "typed.xml"), ["item"], key=key)
+    table = made.tables["item"]
+    assert dict(table.dtypes) == {
+        "id": "bigint", "key": "string", "n": "array<decimal(38,0)>", "f": "double", "day": "date", "ok": "boolean",
+        "mix": "string", "big": "decimal(38,0)", "at": "timestamp_ntz",
+    }
+    first, second = table.orderBy("id").collect()
+    assert (list(map(int, first["n"])), first["f"], str(first["day"]), first["ok"], first["mix"], int(first["big"])) == ([1, 22], 1.0, "2020-02-03", True, "a", 12345678901234567890)
+    assert (second["n"], second["f"], second["mix"], str(second["at"])) == (None, 2.5, "7", "2020-02-03 10:20:00")
