@@ -131,7 +131,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def without(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` less the ids of which no row of ``decisions(id, kept)`` is kept; null is an id like others."""
+    """``docs`` less the ids of which no row of ``decisions(id, kept)`` is kept; null is an id like others, any columns may be there."""
     rows = decisions.groupBy(F.col(id_col).alias("_dropped")).agg(F.max("kept").alias("_kept"))
     dropped = stored(rows.filter("not _kept").select("_dropped"), "dropped")
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
+    return docs.alias("own").join(dropped.alias("gone"), F.col(f"own.{id_col}").eqNullSafe(F.col("gone._dropped")), "left_anti")

@@ -25,6 +25,7 @@ SPAN = 11
 CHUNK = 1 << 16  # words hashed at once
 WORD = re.compile(r"\w+")
 FACTORS = np.random.default_rng(5).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+HITS = 1 << 18  # seed hits looked at together
 
 
 class Hashes(dict):
@@ -82,7 +83,7 @@ class Index:
         self.bits[self.keys >> self.shift] = True
 
     def diagonals(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """Distinct (item, document place - item place) of all seed hits."""
+        """Distinct (item, document place - item place) of all seed hits; a block of hits at a time, as words that repeat hit often."""
         hits = []
         for _, start, seeds in _seeds(words, self.masks):
             at = np.flatnonzero(self.bits[seeds >> self.shift])
@@ -90,8 +91,11 @@ class Index:
                 continue
             low = np.searchsorted(self.keys, seeds[at])
             n = np.searchsorted(self.keys, seeds[at], "right") - low
-            entry = np.repeat(low + n - np.cumsum(n), n) + np.arange(n.sum())
-            hits.append(np.stack([self.item[entry], np.repeat(start + at, n) - self.place[entry]], axis=1))
+            blocks = np.flatnonzero(np.diff(np.cumsum(n) // HITS, prepend=0)) if n.sum() > HITS else []
+            for own, first, many in zip(*(np.split(x, blocks) for x in (at, low, n))):
+                entry = np.repeat(first + many - np.cumsum(many), many) + np.arange(many.sum())
+                pairs = np.stack([self.item[entry], np.repeat(start + own, many) - self.place[entry]], axis=1)
+                hits.append(pairs if len(blocks) == 0 else np.unique(pairs, axis=0))
         return np.unique(np.concatenate(hits), axis=0).tolist() if hits else []
 
     def overlaps(self, words: np.ndarray, overlap: int, share: float):

@@ -161,22 +161,26 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", sh
 
     Pieces are dealt evenly to shards of about ``shard_pieces`` that are packed on their own, so a task holds a
     bounded number of lengths, and each shard can leave one sequence part empty. Lengths must be between 1 and
-    ``capacity``; an empty table gives an empty one. Clashing columns ``sequence_id`` and ``offset`` are replaced.
+    ``capacity``; an empty table gives an empty one. Clashing columns ``sequence_id`` and ``offset`` are replaced,
+    all others stay as they are.
     """
     ship(pieces.sparkSession)
-    pieces = pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id())
+    name = "_row"
+    while name in pieces.columns:
+        name += "_"
+    pieces = pieces.drop("sequence_id", "offset").withColumn(name, F.monotonically_increasing_id())
     pieces = stored(pieces, "pieces")
     shards = max(1, -(-pieces.count() // shard_pieces))
-    lengths = pieces.select("_row", F.col(length_col).cast("int").alias("n"), F.pmod(F.xxhash64("_row"), F.lit(shards)).alias("shard"))
+    lengths = pieces.select(name, F.col(length_col).cast("int").alias("n"), F.pmod(F.xxhash64(name), F.lit(shards)).alias("shard"))
 
     def shard(group):
         import pyarrow as pa
 
-        row, n, number = (group.column(k).to_numpy() for k in ("_row", "n", "shard"))
+        row, n, number = (group.column(k).to_numpy() for k in range(3))
         order = np.argsort(row)
         row, n = row[order], n[order]
         sequence, offset = plan(n, capacity)
-        return pa.table({"_row": row, "sequence_id": sequence + (int(number[0]) << 32), "offset": offset})
+        return pa.table({name: row, "sequence_id": sequence + (int(number[0]) << 32), "offset": offset})
 
-    placed = lengths.groupBy("shard").applyInArrow(shard, "_row long, sequence_id long, offset long")
-    return pieces.join(placed, "_row").drop("_row")
+    placed = lengths.groupBy("shard").applyInArrow(shard, f"{name} long, sequence_id long, offset long")
+    return pieces.join(placed, name).drop(name)

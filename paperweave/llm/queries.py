@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _held_out(parts: int, fold: int):
+    """Whether a document is in the fold that isn't learned from; one without id isn't learned from either."""
+    return F.coalesce(draw(F.col("doc_id"), parts) == fold, F.lit(True))
+
+
 def near_dup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), shingle_words=2, percent=80)
 
@@ -45,14 +50,14 @@ def quality_classifier(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     known = labels.filter(draw(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     return quality.score(docs, quality.train(docs, known)).select(
-        "doc_id", (draw(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
 
 
 def language_id(spark, sf):
     docs = table(spark, sf, "documents")
     models = lang_id.train(docs.filter(draw(F.col("doc_id"), 3) != 1))
-    return lang_id.predict(docs, models).withColumn("held_out", draw(F.col("doc_id"), 3) == 1)
+    return lang_id.predict(docs, models).withColumn("held_out", _held_out(3, 1))
 
 
 def token_ids(spark, sf):

@@ -63,7 +63,10 @@ def _header(fields: dict) -> bytes:
 
 
 def write_archive(pages: DataFrame, folder: str, chunk: int = CHUNK) -> None:
-    """Write ``pages(key, url, payload, payload_digest, refers_to)`` as WARC files, one for each task."""
+    """Write ``pages(key, url, payload, payload_digest, refers_to)`` as WARC files, one for each task.
+
+    A null payload counts as empty; a null digest is taken from the payload.
+    """
 
     def records(rows):
         for row, key, url, payload, digest, refers in rows:
@@ -85,7 +88,8 @@ def write_archive(pages: DataFrame, folder: str, chunk: int = CHUNK) -> None:
                         more["WARC-Segment-Total-Length"] = len(payload) + len(HTTP)
                 yield (_header(more | shared | {"Content-Length": len(body)}) + body + b"\r\n\r",)
 
-    numbered = pages.select(F.monotonically_increasing_id().alias("row"), "key", "url", "payload", "payload_digest", "refers_to")
+    payload = F.coalesce("payload", F.lit("").cast("binary"))
+    numbered = pages.select(F.monotonically_increasing_id().alias("row"), "key", "url", payload.alias("payload"), F.coalesce("payload_digest", F.sha2(payload, 256)).alias("payload_digest"), "refers_to")
     rows = map_rows(numbered, records, "value binary", flush=64)
     rows.select(F.col("value").cast("string")).write.option("lineSep", "\n").text(folder)
 
