@@ -555,6 +555,7 @@ ORACLES = {
     "graph_max_value": _ctes(_MONEY, body="SELECT max(value) AS max_value FROM money"),
     "graph_max_reach": _MAX_REACH,
     "sssp_cost": _SSSP,
+    "sssp_buckets": _SSSP,
     "sssp_cost_fractional": f"SELECT id, dist / 8.0::DOUBLE AS dist FROM ({_SSSP})",
     "sssp_path": _PATHS,
     "pagerank_all": _PAGERANK,

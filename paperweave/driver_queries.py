@@ -18,7 +18,7 @@ from .operators.ontology import DEFAULT_NAMESPACE, tbox_triples
 from .operators.pagerank import pagerank, pagerank_sweep, top_ranked
 from .operators.pregel import graph_max_value, propagate_max
 from .operators.propgraph import NODE_PROPERTIES
-from .operators.shortest_paths import render_paths, shortest_costs, shortest_paths
+from .operators.shortest_paths import render_paths, shortest_costs, shortest_costs_by_bucket, shortest_paths
 from .operators.triples import RDF_TYPE, author_titles, props_of_domains, store_triples
 from .plans import bibliography as bib
 from .plans import knowledge_graph as kg
@@ -550,6 +550,10 @@ def sssp_cost(spark, sf):
     return shortest_costs(views.trade_edges(spark, sf), SOURCE)
 
 
+def sssp_buckets(spark, sf):
+    return shortest_costs_by_bucket(views.trade_edges(spark, sf), SOURCE)
+
+
 def sssp_cost_fractional(spark, sf):
     edges = views.trade_edges(spark, sf).withColumn("weight", F.col("weight") / F.lit(8.0))
     return shortest_costs(edges, SOURCE)
@@ -706,6 +710,7 @@ QUERIES = {
     "graph_max_value": graph_max,
     "graph_max_reach": graph_max_reach,
     "sssp_cost": sssp_cost,
+    "sssp_buckets": sssp_buckets,
     "sssp_cost_fractional": sssp_cost_fractional,
     "sssp_path": sssp_path,
     "pagerank_top": pagerank_top,

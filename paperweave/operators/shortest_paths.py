@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, keep
+from ..session import cut_lineage, keep, planned_shuffles
 from .graph import endpoints
-from .pregel import PartitionedEdges, pregel
+from .pregel import PartitionedEdges, VertexState, pregel
 from .skew import lookup
 
 
@@ -35,10 +35,11 @@ def shortest_costs(
     weight: str = "weight",
     vertices: DataFrame | None = None,
     max_iter: int | None = None,
+    trace: list[dict] | None = None,
 ) -> DataFrame:
     """``id, dist``: cheapest cost from ``source``; null where it cannot reach.
 
-    Costs keep the kind of the weights: whole, decimal or floating.
+    Costs keep the kind of the weights: whole, decimal or floating. ``trace`` is ``pregel``'s.
     """
     kind = _cost_type(edges, weight)
     laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast(kind).alias("w")))
@@ -54,11 +55,109 @@ def shortest_costs(
         accept=F.col("state.dist").isNull() | (F.col("msg") < F.col("state.dist")),
         update={"dist": F.col("msg")},
         max_iter=max_iter,
+        trace=trace,
     )
     laid_out.release()
     return found
 
 
+def shortest_costs_by_bucket(
+    edges: DataFrame,
+    source,
+    weight: str = "weight",
+    vertices: DataFrame | None = None,
+    width=None,
+    trace: list[dict] | None = None,
+) -> DataFrame:
+    """``id, dist`` as ``shortest_costs`` gives them, settled one range of costs after another.
+
+    Costs fall into buckets of ``width`` (by default four times the mean weight; each bucket takes some rounds). Within the lowest open bucket
+    only edges of at most ``width`` are followed, until none of its vertices improves; then each of them sends along its dearer
+    edges, once. So a vertex that many rounds improve does not send its dear edges in each of them.
+    Weights must not be negative; edges without a weight are left out. An unknown ``source`` reaches nothing.
+    """
+    kind = _cost_type(edges, weight)
+    weighted = edges.select("src", "dst", F.col(weight).cast(kind).alias("w")).filter("w IS NOT NULL")
+    least, mean = weighted.agg(F.min("w"), F.avg("w")).first()
+    if least is not None and least < 0:
+        raise ValueError("buckets need weights that are not negative")
+    width = (4 * mean if mean else 1) if width is None else width
+    if width <= 0:
+        raise ValueError("width must be above 0")
+    light = PartitionedEdges(weighted.filter(F.col("w") <= F.lit(width)))
+    dear = PartitionedEdges(weighted.filter(F.col("w") > F.lit(width)))
+    ids = vertices.select("id").distinct() if vertices is not None else endpoints(edges)
+    is_source = F.col("id") == F.lit(source)
+    bucket = F.floor(F.col("dist") / F.lit(width)).cast("long")
+    state = VertexState(
+        ids.select("id", F.when(is_source, F.lit(0)).cast(kind).alias("dist"), F.lit(0).cast("long").alias("bucket"))
+    )
+    #: Changed vertices by the rounds that found them; rows of later buckets wait there.
+    waiting: list[DataFrame] = []
+
+    def relax(along: PartitionedEdges, senders: DataFrame, least_bucket: int) -> tuple[DataFrame, int]:
+        sent = along.from_sources(senders).select(
+            F.col("edge.dst").alias("id"), (F.col("src.dist") + F.col("edge.w")).cast(kind).alias("dist")
+        )
+        seen = Observation()
+        if trace is not None:
+            sent = sent.observe(seen, F.count("*").alias("messages"))
+        better = (
+            state.meet(sent.groupBy("id").agg(F.min("dist").alias("dist")))
+            .filter(F.col("state.dist").isNull() | (F.col("dist") < F.col("state.dist")))
+            .select("state.id", "dist", F.greatest(bucket, F.lit(least_bucket)).alias("bucket"))
+        )
+        changed, rows = state.change(better)
+        if trace is not None:
+            trace.append({"messages": seen.get["messages"], "written": state.written})
+        if rows:
+            waiting.append(changed)
+        return changed, rows
+
+    def open_rows(least_bucket: int) -> DataFrame:
+        rows = waiting[0]
+        for more in waiting[1:]:
+            rows = rows.unionByName(more)
+        return rows.filter(F.col("bucket") >= least_bucket)
+
+    with planned_shuffles(edges.sparkSession):
+        now, senders = 0, state.base.filter(is_source)
+        while now is not None:
+            settled, rows = senders, 1
+            while rows:
+                changed, rows = relax(light, senders, now)
+                senders = changed.filter(F.col("bucket") == now)
+                if rows:
+                    settled = settled.unionByName(senders)
+            # A vertex that improved within its bucket stands there more than once.
+            relax(dear, settled.groupBy("id").agg(F.min("dist").alias("dist")), now + 1)
+            waiting = _still_open(waiting, now + 1)
+            now = open_rows(now + 1).agg(F.min("bucket")).first()[0] if waiting else None
+            if now is not None:
+                waits = open_rows(now).filter(F.col("bucket") == now).groupBy("id").agg(F.min("dist").alias("dist"))
+                # Of a vertex that has moved on to a lower cost since, an old row is left out.
+                senders = (
+                    state.meet(waits).filter(F.col("dist") == F.col("state.dist")).select("state.id", "dist", F.lit(now).alias("bucket"))
+                )
+        result = cut_lineage(state.rows().select("id", "dist"))
+    state.release()
+    light.release()
+    dear.release()
+    return result
+
+
+def _still_open(waiting: list[DataFrame], least_bucket: int) -> list[DataFrame]:
+    """Of the tables of changed vertices those with rows that still wait."""
+    if not waiting:
+        return []
+    tagged = [df.select(F.lit(k).alias("k"), "bucket") for k, df in enumerate(waiting)]
+    rows = tagged[0]
+    for more in tagged[1:]:
+        rows = rows.unionByName(more)
+    left = rows.groupBy("k").agg(F.max("bucket").alias("last")).filter(F.col("last") >= least_bucket).select("k")
+    return [waiting[r["k"]] for r in left.collect()]
+
+
 def shortest_paths(
     edges: DataFrame,
     source,

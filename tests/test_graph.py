@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from paperweave.operators.graph import graph_build, triplets
 from paperweave.operators.pagerank import pagerank, pagerank_sweep, top_ranked
 from paperweave.operators.pregel import PartitionedEdges, graph_max_value, pregel, propagate_max
-from paperweave.operators.shortest_paths import render_paths, shortest_costs, shortest_paths
+from paperweave.operators.shortest_paths import render_paths, shortest_costs, shortest_costs_by_bucket, shortest_paths
 
 MAX_VERTICES = [(1, 9), (2, 1), (3, 6), (4, 8)]
 MAX_EDGES = [(1, 2), (2, 3), (2, 4), (3, 4), (3, 1)]
@@ -154,3 +154,61 @@ def test_graph_build_and_triplets(spark, rows):
     assert rows(added[0]) == [(1, 9), (2, 1)]
     assert rows(triplets(*added)) == [(1, 2, 9, 1)]
     assert graph_build(v, e, dangling="drop")[1].count() == 0
+
+
+def test_rounds_write_changed_vertices_only(spark):
+    n = 20
+    chain = spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).cast("long").alias("weight"))
+    vertices = spark.range(4000)
+    trace = []
+    found = shortest_costs(chain, 0, vertices=vertices, trace=trace)
+    assert {r["id"]: r["dist"] for r in found.collect()} == {i: i if i < n else None for i in range(4000)}
+    assert [t["messages"] for t in trace] == [1] * (n - 1) + [0]
+    # Each of the 19 changed rows is written once, and again for each level of merged tables.
+    assert n - 1 <= trace[-1]["written"] <= 4 * (n - 1)
+
+
+def test_changes_that_reach_all_vertices_are_folded(spark, rows):
+    edges = spark.createDataFrame([(i, (i + 1) % 12) for i in range(12)], "src long, dst long")
+    vertices = spark.createDataFrame([(i, i) for i in range(12)], "id long, value long")
+    trace = []
+    found = pregel(
+        vertices, edges, start=F.lit(True), message=F.col("src.value"), merge=F.max,
+        accept=F.col("msg") > F.col("state.value"), update={"value": F.col("msg")}, trace=trace,
+    )
+    assert rows(found) == [(i, 11) for i in range(12)]
+    assert len(trace) == 12
+
+
+def test_buckets_against_dijkstra(spark, random_edges):
+    best = dijkstra(random_edges, 5)
+    for width in (None, 2):
+        found = shortest_costs_by_bucket(frame(spark, random_edges), 5, width=width).collect()
+        assert {r["id"]: r["dist"] for r in found if r["dist"] is not None} == best
+
+
+def test_buckets_send_less_along_uneven_weights(spark):
+    # A chain improves vertex k in each of k rounds; all vertices have dear edges to many others.
+    n, edges = 10, []
+    for i in range(n):
+        edges += [(i, j, 1 if j == i + 1 else 3 * (j - i)) for j in range(i + 1, n)]
+        edges += [(i, 1000 + 20 * i + k, 500) for k in range(20)]
+    plain, buckets = [], []
+    a = shortest_costs(frame(spark, edges), 0, trace=plain).collect()
+    b = shortest_costs_by_bucket(frame(spark, edges), 0, width=40, trace=buckets).collect()
+    assert sorted(a) == sorted(b)
+    assert sum(t["messages"] for t in buckets) * 2 < sum(t["messages"] for t in plain)
+
+
+def test_buckets_odd_inputs(spark):
+    def found(edges, source=1, **more):
+        return sorted((r["id"], r["dist"]) for r in shortest_costs_by_bucket(frame(spark, edges), source, **more).collect())
+
+    assert found([]) == []
+    assert found([(1, 2, 0), (2, 3, 0)]) == [(1, 0), (2, 0), (3, 0)]
+    assert found([(1, 2, None), (1, 3, 4), (1, 3, 2)])[1:] == [(2, None), (3, 2)]
+    assert found([(1, 2, 1)], source=9) == [(1, None), (2, None)]
+    with pytest.raises(ValueError):
+        found([(1, 2, -1)])
+    with pytest.raises(ValueError):
+        found([(1, 2, 1)], width=0)
