@@ -82,31 +82,61 @@ class Index:
         self.bits = np.zeros(1 << int(64 - int(self.shift)), bool)
         self.bits[self.keys >> self.shift] = True
 
-    def diagonals(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """Distinct (item, document place - item place) of all seed hits; a block of hits at a time, as words that repeat hit often."""
+    def batch_diagonals(self, docs: list[np.ndarray]) -> dict[int, list[list[int]]]:
+        """Distinct (item, document place - item place) of all seed hits, by the number of the document.
+
+        All documents are gone through as one array, less windows across an end; hits a block at a time, as words that repeat hit often.
+        """
+        if not len(self.keys) or not docs:
+            return {}
+        ends = np.cumsum([len(words) for words in docs])
+        words = np.concatenate(docs)
         hits = []
-        for _, start, seeds in _seeds(words, self.masks):
+        for number, start, seeds in _seeds(words, self.masks):
             at = np.flatnonzero(self.bits[seeds >> self.shift])
+            low = np.searchsorted(self.keys, seeds[at])
+            known = self.keys[np.minimum(low, len(self.keys) - 1)] == seeds[at]
+            at, low = at[known], low[known]
+            doc = np.searchsorted(ends, start + at, "right")
+            inside = start + at + len(self.masks[number]) <= ends[doc]
+            at, low, doc = at[inside], low[inside], doc[inside]
             if not len(at):
                 continue
-            low = np.searchsorted(self.keys, seeds[at])
             n = np.searchsorted(self.keys, seeds[at], "right") - low
+            place = start + at - ends[doc] + [len(docs[d]) for d in doc.tolist()]
             blocks = np.flatnonzero(np.diff(np.cumsum(n) // HITS, prepend=0)) if n.sum() > HITS else []
-            for own, first, many in zip(*(np.split(x, blocks) for x in (at, low, n))):
+            for own, of, first, many in zip(*(np.split(x, blocks) for x in (place, doc, low, n))):
                 entry = np.repeat(first + many - np.cumsum(many), many) + np.arange(many.sum())
-                pairs = np.stack([self.item[entry], np.repeat(start + own, many) - self.place[entry]], axis=1)
-                hits.append(pairs if len(blocks) == 0 else np.unique(pairs, axis=0))
-        return np.unique(np.concatenate(hits), axis=0).tolist() if hits else []
-
-    def overlaps(self, words: np.ndarray, overlap: int, share: float):
-        """``(item id, first word, words, agreeing words)``: the best overlap with each item that has one.
+                found = np.stack([np.repeat(of, many), self.item[entry], np.repeat(own, many) - self.place[entry]], axis=1)
+                hits.append(found if len(blocks) == 0 else np.unique(found, axis=0))
+        by_doc: dict[int, list[list[int]]] = {}
+        for d, k, shift in np.unique(np.concatenate(hits), axis=0).tolist() if hits else []:
+            by_doc.setdefault(d, []).append([k, shift])
+        return by_doc
+
+    def diagonals(self, words: np.ndarray) -> list[list[int]]:
+        return self.batch_diagonals([words]).get(0, [])
+
+    def overlaps(self, words: np.ndarray, overlap: int, share: float) -> list[tuple[int, int, int, int]]:
+        return self.batch_overlaps([words], overlap, share).get(0, [])
+
+    def batch_overlaps(self, docs: list[np.ndarray], overlap: int, share: float) -> dict[int, list[tuple[int, int, int, int]]]:
+        """By the number of the document ``(item id, first word, words, agreeing words)``: the best overlap with each item that has one."""
+        return {
+            d: found
+            for d, diagonals in self.batch_diagonals(docs).items()
+            if (found := self._verified(docs[d], diagonals, overlap, share))
+        }
+
+    def _verified(self, words: np.ndarray, diagonals: list[list[int]], overlap: int, share: float):
+        """The best overlaps of one document on its diagonals.
 
         On each diagonal every segment counts of which at least ``share`` agrees; the best has most agreeing words.
         """
         best: dict[int, tuple[int, int, int]] = {}
         exact = Fraction(share).limit_denominator(1_000_000)
         reward, penalty = exact.denominator - exact.numerator, exact.numerator
-        for k, shift in self.diagonals(words):
+        for k, shift in diagonals:
             item = self.words[k]
             start, end = max(0, shift), min(len(words), shift + len(item))
             same = words[start:end] == item[start - shift : end - shift]
@@ -119,6 +149,19 @@ class Index:
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
+def _parts(hashed):
+    """Documents in lists of about ``CHUNK`` words; a longer one ends its list."""
+    part, held = [], 0
+    for identity, words in hashed:
+        part.append((identity, words))
+        held += len(words)
+        if held >= CHUNK or len(part) >= CHUNK:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def _most_agreeing(same: np.ndarray, reward: int, penalty: int) -> tuple[int, int, int]:
     """``(first, last, agreeing)`` of the segment with most agreeing words among those of non-negative sum.
 
@@ -166,9 +209,10 @@ def overlaps(
 
         def scan(rows, shared=shared):
             cache, index = Hashes(), shared.value
-            for identity, text in rows:
-                for match in index.overlaps(cache.of(text), overlap, share):
-                    yield identity, *match
+            for part in _parts((identity, cache.of(text)) for identity, text in rows):
+                for d, matches in index.batch_overlaps([words for _, words in part], overlap, share).items():
+                    for match in matches:
+                        yield part[d][0], *match
 
         found = found.union(map_rows(texts, scan, schema))
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "words", "agreeing")
@@ -206,7 +250,11 @@ def clean(
             cache, index = Hashes(), shared.value
             for batch in sliced(batches):
                 texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
-                yield batch.filter(pa.array([not index.overlaps(cache.of(t), overlap, share) for t in texts], pa.bool_()))
+                passing = []
+                for part in _parts((None, cache.of(t)) for t in texts):
+                    found = index.batch_overlaps([words for _, words in part], overlap, share)
+                    passing += [d not in found for d in range(len(part))]
+                yield batch.filter(pa.array(passing, pa.bool_()))
 
         docs = docs.mapInArrow(passed, docs.schema)
     return docs

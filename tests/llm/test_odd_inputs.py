@@ -59,3 +59,23 @@ def test_hits_in_blocks_are_the_same(monkeypatch):
     whole = index.diagonals(words)
     monkeypatch.setattr(decontam, "HITS", 7)
     assert sorted(map(tuple, index.diagonals(words))) == sorted(map(tuple, whole)) and len(whole) > 20
+
+
+def test_documents_of_a_batch_are_hit_as_if_alone():
+    draw, cache = np.random.default_rng(11), decontam.Hashes()
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(draw.choice(vocabulary, n)).encode()) for i, n in enumerate([8, 9, 13, 30, 60])]
+    index = decontam.Index(items, 8)
+    texts = [b"", b"w1", *(t for _, t in items)]
+    for _, text in items:
+        words = text.decode().split()
+        half = len(words) // 2
+        # A passage cut over two documents is in neither.
+        texts += [" ".join(words[:half]).encode(), " ".join(words[half:]).encode()]
+        texts.append(" ".join([*draw.choice(vocabulary, 20), *words, *draw.choice(vocabulary, 5)]).encode())
+    docs = [cache.of(t) for t in texts]
+    alone = {d: found for d, words in enumerate(docs) if (found := index.overlaps(words, 13, 0.8))}
+    assert index.batch_overlaps(docs, 13, 0.8) == alone and len(alone) >= 10
+    hits = {d: found for d, words in enumerate(docs) if (found := index.diagonals(words))}
+    assert index.batch_diagonals(docs) == hits
+    assert decontam.Index([], 8).batch_overlaps(docs, 13, 0.8) == {}
