@@ -94,7 +94,7 @@ def _measured(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 class VertexState:
-    """The current row of every vertex: a base and, newest last, runs of changed rows.
+    """The current row of every vertex: a base and, newest last, runs of changed rows. Of repeated ids one row stays.
 
     ``MERGE_RUNS`` runs of one level become one of the next, so a changed row is
     written again a logarithmic number of times; runs that together hold as
