@@ -478,6 +478,7 @@ ORACLES = {
     "citation_pairs": _on_papers(f"SELECT key, {_CITED} AS cite FROM papers"),
     "csv_read_clean": "SELECT * FROM part",
     "write_csv_roundtrip": "SELECT * REPLACE ('say \"' || p_name || '\"; twice' AS p_name) FROM part",
+    "csv_quoted_breaks": """SELECT doc_id, replace(text, ' ', chr(10) || '"a", ') || repeat(chr(10), 2) || '"' AS body, nullif(lang, '') AS lang FROM documents""",
     "typed_header_read": "SELECT p_partkey, p_name, list_aggregate(list_sort([p_brand, p_type]), 'string_agg', ',') AS tags, p_retailprice FROM part",
     "typed_header": _ctes(*_TYPED, body="""SELECT record_type, 'id:integer;' || string_agg("column" || ':' || type || CASE WHEN is_multi THEN '[]' ELSE '' END, ';' ORDER BY "column") AS header FROM types GROUP BY record_type"""),
     "infer_value_type": _ctes(*_TYPED, body="""SELECT record_type || '.' || "column" AS "column", t AS value_type, count(*) AS n FROM kinds GROUP BY ALL"""),

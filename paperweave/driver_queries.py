@@ -106,6 +106,16 @@ def write_csv_roundtrip(spark, sf):
     return rel.union_all(read)
 
 
+def csv_quoted_breaks(spark, sf):
+    """Texts with line breaks, separators and quotes go through comma-separated files; a file is read by many tasks."""
+    path = scratch_path(spark, "breaks")
+    texts = views.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.regexp_replace("text", " ", '\n"a", '), F.lit('\n\n"')).alias("body"), "lang"
+    )
+    delimited.write_delimited(texts, path, sep=",")
+    return delimited.read_delimited(spark, path, texts.schema, sep=",", quoted_breaks=True)
+
+
 def typed_header_read(spark, sf):
     path, header = scratch_path(spark, "data"), scratch_path(spark, "header")
     part = views.table(spark, sf, "part").select(
@@ -623,7 +633,7 @@ def abox_from_csv(spark, sf):
     for name, rows in views.knowledge_tables(spark, sf).items():
         path = scratch_path(spark, name)
         delimited.write_delimited(rows, path, sep=",")
-        tables[name] = delimited.read_delimited(spark, path, rows.schema, sep=",", multi_line=True)
+        tables[name] = delimited.read_delimited(spark, path, rows.schema, sep=",", quoted_breaks=True)
     return kg.abox_triples(tables, NS)
 
 
@@ -650,6 +660,7 @@ QUERIES = {
     "schema_discovery": schema_discovery,
     "csv_read_clean": csv_read_clean,
     "write_csv_roundtrip": write_csv_roundtrip,
+    "csv_quoted_breaks": csv_quoted_breaks,
     "typed_header_read": typed_header_read,
     "typed_header": typed_header,
     "tsv_edges": tsv_edges,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cells import CELL_SEPARATOR, join_cell, split_cell
+from .quoted_records import quoted_records
 
 # Header type names and what they mean.
 HEADER_TYPES = {
@@ -30,27 +31,24 @@ def read_delimited(
     sep: str = ";",
     header: bool = True,
     max_rows: int | None = None,
-    multi_line: bool = False,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """Rows with more fields than the schema are skipped, rows without any value dropped.
 
     Short rows are padded with nulls.  ``max_rows`` is off by default.  The
-    read is splittable unless ``multi_line`` is set.
+    read is splittable, with ``quoted_breaks`` too: quoted fields may then hold
+    line breaks (see ``quoted_records``).
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     tolerant = T.StructType([*schema.fields, T.StructField(_SURPLUS, T.StringType())])
-    rows = (
-        spark.read.schema(tolerant)
-        .option("sep", sep)
-        .option("header", header)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    records = quoted_records(spark, path, sep, header) if quoted_breaks else None
+    if records is None:
+        rows = spark.read.schema(tolerant).options(header=header, enforceSchema=True, **options).csv(path)
+    else:
+        ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in tolerant.fields)
+        rows = records.select(F.from_csv("value", ddl, options).alias("row")).select("row.*")
     rows = rows.filter(F.col(_SURPLUS).isNull()).drop(_SURPLUS).dropna(how="all")
     return rows.limit(max_rows) if max_rows is not None else rows
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from paperweave.functions.value_types import infer_column_types, typed_headers, value_type
@@ -237,6 +239,55 @@ def test_tolerant_read(spark, tmp_path, rows):
     assert delimited.read_delimited(spark, str(path), "a INT, b STRING", max_rows=2).count() == 2
 
 
+@pytest.mark.parametrize("size", ["64", "300", "100000"])
+def test_quoted_breaks_are_read_in_splits(spark, tmp_path, rows, size):
+    odd = ['a"b', '"', '""', "x\n\n,y", ",\n\"\n", "\r\n", None, "plain, with", '\n"",""\n', "end\n" * 40]
+    lines = ['n,"the\n""text""",m\n', "\n"]
+    for n in range(200):
+        text = odd[n % len(odd)]
+        cell = "" if text is None else '"' + text.replace('"', '""') + '"'
+        lines.append(f"{n},{cell},5\" disk{'\r' * (n % 7 == 0)}\n" + "\n" * (n % 11 == 0))
+    lines.append('200,"a"b,c\n201\n202,"x\ny",z,surplus\n')
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "broken.csv").write_text("".join(lines), newline="")
+    (tmp_path / "in" / "plain.csv").write_text('n,t,m\n300,"p",q\n301,5" x,q')
+    expected = [(n, odd[n % len(odd)], '5" disk') for n in range(200)]
+    expected += [(200, '"a"b', "c"), (201, None, None), (300, "p", "q"), (301, '5" x', "q")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = delimited.read_delimited(spark, str(tmp_path / "in"), "n INT, t STRING, m STRING", sep=",", quoted_breaks=True)
+        assert {r[0]: tuple(r) for r in read.collect()} == {e[0]: e for e in expected}
+        assert read.count() == len(expected)
+        splits = spark.read.option("lineSep", "\n").text(str(tmp_path / "in")).rdd.getNumPartitions()
+        assert (splits > 10) == (int(size) < 1000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ranges_of_lines_compose(spark, tmp_path, monkeypatch):
+    from paperweave.sources import quoted_records as q
+
+    monkeypatch.setattr(q, "_RANGE_BITS", 1)
+    inner = "".join(f"{k}{',' * (k % 3)}\n" for k in range(25))
+    (tmp_path / "in.csv").write_text(f'a;"{inner}"\nb;"x\n"";""\n"\nc;d\n"e\n";"f\n')
+    with pytest.raises(ValueError, match="inside of quotes"):
+        q.quoted_records(spark, str(tmp_path / "in.csv"), ";", header=False)
+    (tmp_path / "in.csv").write_text(f'a;"{inner}"\nb;"x\n"";""\n"\nc;d\n"e\n";"f\n"')
+    found = delimited.read_delimited(spark, str(tmp_path / "in.csv"), "k STRING, v STRING", header=False, quoted_breaks=True)
+    assert {tuple(r) for r in found.collect()} == {("a", inner), ("b", 'x\n";"\n'), ("c", "d"), ("e\n", "f\n")}
+
+
+def test_no_quoted_break_needs_no_walk(spark, tmp_path):
+    from paperweave.sources.quoted_records import quoted_records
+
+    (tmp_path / "in.csv").write_text('a,b\n"1,2",5" disk\n')
+    assert quoted_records(spark, str(tmp_path / "in.csv")) is None
+    (tmp_path / "empty.csv").write_text("")
+    assert delimited.read_delimited(spark, str(tmp_path / "empty.csv"), "a STRING", sep=",", quoted_breaks=True).count() == 0
+
+
 def test_typed_header_and_roundtrip(spark, tmp_path):
     (tmp_path / "h.csv").write_text("n:integer;tags:string[];when:date;f:float;s\n")
     df = spark.createDataFrame([(1, ["b", "a"], None, 1.5, 'q"; z'), (2, ["c"], None, None, None)], "n long, tags array<string>, when date, f double, s string")
