@@ -572,4 +572,6 @@ ORACLES = {
     "abox_triples": _ctes(*_KG, body="SELECT s, p, o, o_is_literal FROM abox"),
     "author_titles": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more="")),
     "author_titles_by_keyword": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more=_BY_KEYWORD)),
+    "author_titles_encoded": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more="")),
+    "author_titles_encoded_by_keyword": _ctes(*_KG, _TBOX, _ALL, body=_NAMED_TITLES.format(more=_BY_KEYWORD)),
 }

@@ -10,6 +10,7 @@ from . import views
 from .functions.cells import class_iri, join_cell, mint_iri
 from .functions.value_types import infer_column_types, infer_value_types, typed_headers
 from .operators import relational as rel
+from .operators.encoded_triples import EncodedTriples, encoded_author_titles
 from .operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize
 from .operators.graph import graph_build, triplets
 from .operators.id_dictionary import IdDictionary
@@ -655,6 +656,15 @@ def author_title_cells_by_keyword(spark, sf):
     return author_titles(_triples(spark, sf), NS, keyword="Brand#3").select("author", "part", "titles")
 
 
+def author_title_cells_encoded(spark, sf):
+    return encoded_author_titles(EncodedTriples(_triples(spark, sf)), NS).select("author", "part", "titles")
+
+
+def author_title_cells_encoded_by_keyword(spark, sf):
+    store = EncodedTriples(_triples(spark, sf))
+    return encoded_author_titles(store, NS, keyword="Brand#3").select("author", "part", "titles")
+
+
 QUERIES = {
     "xml_records": xml_records,
     "schema_discovery": schema_discovery,
@@ -733,4 +743,6 @@ QUERIES = {
     "abox_triples": abox,
     "author_titles": author_title_cells,
     "author_titles_by_keyword": author_title_cells_by_keyword,
+    "author_titles_encoded": author_title_cells_encoded,
+    "author_titles_encoded_by_keyword": author_title_cells_encoded_by_keyword,
 }
