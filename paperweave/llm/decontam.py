@@ -8,6 +8,7 @@ when enough words agree.
 
 from __future__ import annotations
 
+import math
 import re
 from fractions import Fraction
 
@@ -21,9 +22,14 @@ from .common import map_rows, ship, sliced, stored
 # Fixed values. Every overlap of 13 agreeing words and a share of 0.8 holds one of at most 31 words, and
 # each placement of changed words in these is passed by a mask; the last two pass those the first four don't.
 MASKS = ("11101001011", "11010011101", "11001110011", "10110101101", "1011111", "1111101")
-SPAN = 11
+# Fixed values. With these, items of 8 to 16 words are found wherever their changed words stand, while
+# 13 words or a share of 0.8 agree, whichever is less.
+SHORT_MASKS = ("110111", "1110011", "1010111")
+WHOLE, SHORT = 8, 17  # words; below the first all words must agree, below the second the short masks look too
 CHUNK = 1 << 16  # words hashed at once
-WORD = re.compile(r"\w+")
+# Thai, Lao, Burmese, Khmer, kana, Chinese: written without blanks, so each sign counts as a word.
+UNSPACED = "\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u1049\u1780-\u17d3\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+WORD = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
 FACTORS = np.random.default_rng(5).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 HITS = 1 << 18  # seed hits looked at together
 
@@ -65,12 +71,13 @@ class Index:
         listed = [(i, w) for i, w in ((i, cache.of(t)) for i, t in items) if len(w) >= least]
         self.ids = [i for i, _ in listed]
         self.words = [w for _, w in listed]
-        short = sorted({len(w) for w in self.words if len(w) < SPAN})
-        self.masks = [*MASKS, *("1" * n for n in short)]  # items shorter than a window count whole
+        lengths = sorted({len(w) for w in self.words})
+        short = SHORT_MASKS if any(WHOLE <= n < SHORT for n in lengths) else ()
+        self.masks = [*MASKS, *short, *("1" * n for n in lengths if n < WHOLE)]
         keys, item, place = [], [], []
         for k, words in enumerate(self.words):
             for number, start, found in _seeds(words, self.masks):
-                if len(words) >= SPAN and number < len(MASKS) or len(words) == len(self.masks[number]):
+                if len(words) >= WHOLE and (number < len(MASKS) or number < len(MASKS) + len(short) and len(words) < SHORT) or len(words) == len(self.masks[number]) < WHOLE:
                     keys.append(found)
                     item.append(np.full(len(found), k))
                     place.append(start + np.arange(len(found)))
@@ -140,7 +147,7 @@ class Index:
             item = self.words[k]
             start, end = max(0, shift), min(len(words), shift + len(item))
             same = words[start:end] == item[start - shift : end - shift]
-            least = max(min(overlap, len(item)), best.get(k, (0, 0, 0))[2] + 1)
+            least = max(_needed(len(item), overlap, exact), best.get(k, (0, 0, 0))[2] + 1)
             if np.count_nonzero(same) < least:
                 continue
             first, last, agreeing = _most_agreeing(same, reward, penalty)
@@ -149,6 +156,11 @@ class Index:
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
+def _needed(words: int, overlap: int, share: Fraction) -> int:
+    """Agreeing words that an overlap with an item of so many words must have."""
+    return min(overlap, words if words < WHOLE else math.ceil(share * words))
+
+
 def _parts(hashed):
     """Documents in lists of about ``CHUNK`` words; a longer one ends its list."""
     part, held = [], 0
@@ -196,9 +208,9 @@ def overlaps(
 ) -> DataFrame:
     """``(doc_id, item_id, start, words, agreeing)`` of all verified overlaps; places count words.
 
-    An overlap has at least ``overlap`` agreeing words (all of a shorter item) and at least ``share`` of
-    its words agree. Items of fewer than ``least`` words are not looked for. The
-    benchmark goes over the documents in blocks of about ``block_words`` words (an item is never
+    An overlap has at least ``overlap`` agreeing words, or a ``share`` of the item's where that is less (all of an item of
+    fewer than 8 words), and at least ``share`` of its words agree. In scripts without blanks each sign counts as a word. Items of fewer
+    than ``least`` words are not looked for. The benchmark goes over the documents in blocks of about ``block_words`` words (an item is never
     cut), so what a task holds is bounded whatever the benchmark's size. Null
     and empty texts overlap with nothing; an empty benchmark gives no row.
     """
@@ -221,7 +233,8 @@ def overlaps(
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, least: int, block_words: int):
     """The benchmark's index, block by block, as broadcasts of bounded size."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).dropna()
-    total = items.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
+    words = F.size(F.split("t", r"\s+")) + F.regexp_count("t", F.lit(f"[{UNSPACED}]"))
+    total = items.agg(F.sum(words)).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t")
@@ -240,7 +253,10 @@ def clean(
     least: int = 8,
     block_words: int = 250_000,
 ) -> DataFrame:
-    """The rows of ``docs``, with all columns, that overlap with no item; nothing is moved."""
+    """The rows of ``docs``, with all columns, that overlap with no item (see ``overlaps``); nothing is moved.
+
+    Rows without a text stay; repeated rows are judged alike; columns may have any name besides ``text_col``.
+    """
     ship(docs.sparkSession)
     for shared in _blocks(benchmark, item_col, item_text_col, least, block_words):
 

@@ -70,7 +70,7 @@ def token_ids(spark, sf):
 
 
 def decontamination(spark, sf):
-    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), least=1)
 
 
 def packed(spark, sf):

@@ -136,6 +136,30 @@ def test_no_placement_of_changed_words_misses_all_masks(words, changed):
     assert hit.all()
 
 
+@pytest.mark.parametrize("words, changed", [(8, 1), (9, 1), (10, 2), (11, 2), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3)])
+def test_short_items_are_found_wherever_words_are_changed(words, changed):
+    draw, cache = random.Random(words), decontam.Hashes()
+    item = [f"w{k}" for k in range(words)]
+    index = decontam.Index([(4, " ".join(item).encode())], 1)
+    docs = []
+    for places in itertools.combinations(range(words), changed):
+        docs.append(["x", *("other" if k in places else w for k, w in enumerate(item)), *_words(draw, 20)])
+    hashed = [cache.of(" ".join(d).encode()) for d in docs]
+    found = index.batch_overlaps(hashed, 13, 0.8)
+    assert [[(f[0], f[3]) for f in found.get(d, [])] for d in range(len(docs))] == [[(4, words - changed)]] * len(docs)
+    more = [cache.of(" ".join("other" if k <= changed else w for k, w in enumerate(item)).encode())]
+    assert index.batch_overlaps(more, 13, 0.8) == {}
+
+
+def test_items_of_few_words_and_unspaced_scripts(spark):
+    texts = ["say ab cd ef now", "say ab cd xx now", "我们今天去公园看花然后回家吃饭", "我们明天去公园看花然后回家吃饭", "公园 ab", "ab cd", None, ""]
+    docs = spark.createDataFrame([(k, t, "", "") for k, t in enumerate(texts)], DOCS)
+    bench = spark.createDataFrame([(1, "ab cd ef"), (2, "们今天去公园看花然后回家"), (3, ""), (4, "cd, now")], "item_id long, text string")
+    found = {r.doc_id: r.item_ids for r in decontam.contamination(docs, bench, least=1).collect()}
+    assert found == {0: [1], 1: [], 2: [2], 3: [2], 4: [], 5: [], 6: [], 7: []}
+    assert {r.doc_id for r in decontam.clean(docs, bench, least=1).collect()} == {1, 4, 5, 6, 7}
+
+
 def test_seeds_of_pieces_are_those_of_the_whole(monkeypatch):
     draw = random.Random(14)
     item = _words(draw, 40)
