@@ -136,7 +136,7 @@ def near_duplicates(
     percent: int = 80,
     tables_per_side: int = 12,
     rows_in_tuple: int = 2,
-    star_rounds: int = 1,
+    star_rounds: int = 2,
 ) -> DataFrame:
     """Components of near-duplicates: one row ``(doc_id, n_shingles, component_id, kept)`` per row.
 
@@ -145,7 +145,7 @@ def near_duplicates(
     links, ``kept`` marks the row that carries it.
 
     Every set is first compared with one leader of its buckets only, that of the most tables; then for ``star_rounds`` rounds
-    one member of each component in a bucket with one of the first component; sets of a bucket that
+    one member of each open component with one of the first component of a bucket; sets of a bucket that
     are still in different components after that are all compared, block by block. So no
     link between sets that meet in a table is lost.
 
@@ -196,8 +196,7 @@ def near_duplicates(
         open_members = stored(_unresolved(members, parts), "open")
         members = open_members.select("key", "member", "size")
         if turn < star_rounds:
-            new = _stars(open_members, turn, percent).distinct().join(tested, ["a", "b"], "left_anti")
-            pairs = stored(new, "pairs")
+            pairs = stored(_stars(open_members, tested, turn, percent), "pairs")
             tested, new = tested.union(pairs), _verified(pairs, sets, percent)
         else:
             new = _rest(open_members, sets, percent)
@@ -228,14 +227,21 @@ def _unresolved(members: DataFrame, parts: DataFrame) -> DataFrame:
     return known.join(mixed_keys, "key", "left_semi")
 
 
-def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of one member of each component in a bucket with one of the bucket's first component."""
+def _stars(members: DataFrame, tested: DataFrame, turn: int, percent: int) -> DataFrame:
+    """For each open component one pair, of those not yet tested.
+
+    In a bucket a member of each component is paired with one of the bucket's first component; of a component's
+    pairs over all buckets that of the most tables is taken, so that pairs grow with the components and not with their tables.
+    """
     order = F.struct(F.xxhash64("member", "key", F.lit(turn)).alias("o"), "member", "size")
     one = members.groupBy("key", "component").agg(F.min(order).alias("m"))
     one = stored(one.select("key", "component", "m.*"), "picked")
     lead = one.groupBy("key").agg(F.min(F.struct(F.col("component").alias("c"), F.col("member").alias("leader"), F.col("size").alias("leader_size"))).alias("l"))
     fits, columns = _pairs("leader", "member", "leader_size", "size", percent)
-    return one.join(lead.select("key", "l.*"), "key").filter(fits).select(*columns)
+    met = one.join(lead.select("key", "l.*"), "key").filter(fits).select("component", *columns)
+    met = met.groupBy("component", "a", "b").agg(F.count("*").alias("tables")).join(tested, ["a", "b"], "left_anti")
+    best = met.groupBy("component").agg(F.max(F.struct("tables", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b").distinct()
 
 
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
