@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WORD_CACHE = 200_000
@@ -31,23 +27,6 @@ def draw(identity: Column, parts: int) -> Column:
     return F.pmod(F.crc32(identity.cast("string").cast("binary")), F.lit(parts))
 
 
-SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give Python workers this package where neither PYTHONPATH nor the working folder has it.
-
-    Only code travels this way, by Spark's own file server.
-    """
-    root = Path(__file__).resolve().parents[2]
-    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    context = spark.sparkContext
-    if context.applicationId in SHIPPED or not root.is_dir() or any(p and Path(p).resolve() == root for p in places):
-        return
-    SHIPPED.add(context.applicationId)
-    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/paperweave-code", "zip", root, "paperweave"))
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, and gives joins an exact size."""
     spark = df.sparkSession

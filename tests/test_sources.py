@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import pytest
@@ -326,3 +327,55 @@ def test_typed_tables(spark, tmp_path):
     first, second = table.orderBy("id").collect()
     assert (list(map(int, first["n"])), first["f"], str(first["day"]), first["ok"], first["mix"], int(first["big"])) == ([1, 22], 1.0, "2020-02-03", True, "a", 12345678901234567890)
     assert (second["n"], second["f"], second["mix"], str(second["at"])) == (None, 2.5, "7", "2020-02-03 10:20:00")
+
+
+def test_quoted_lines_are_neither_written_nor_sorted(spark, tmp_path, rows):
+    from paperweave.session import shared_folder
+
+    cells = ["".join(f'""a"", {n} {k}\n' for k in range(300)) for n in range(60)]
+    (tmp_path / "in.csv").write_text("\n \nid¦body\n" + "".join(f'{n}¦"{c}"\r\n\n' for n, c in enumerate(cells)), newline="")
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    size = (tmp_path / "in.csv").stat().st_size
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 7))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = delimited.read_delimited(spark, str(tmp_path / "in.csv"), "id INT, body STRING", sep="¦", quoted_breaks=True)
+        assert rows(read) == [(n, c.replace('""', '"')) for n, c in enumerate(cells)]
+        lines = [r["file"] for r in spark.read.text(str(tmp_path / "in.csv")).select("_metadata.file_block_start", "_metadata.file_path").toDF("block", "file").collect()]
+        written = sum(p.stat().st_size for p in set(folder.rglob("*.parquet")) - before)
+        assert len(lines) > 18000 and written < size / 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_quoted_lines_end_as_a_walk_over_their_signs_says(spark):
+    import pyarrow as pa
+
+    from paperweave.sources.quoted_records import _Lexer
+
+    def walk(line, sep, inside):
+        """One sign after another: at a field's beginning, in a plain field, in quotes, after a quote in quotes."""
+        place, k = "quoted" if inside else "begin", 0
+        while k < len(line):
+            sign, wide = (sep, len(sep)) if place != "quoted" and line.startswith(sep, k) else (line[k], 1)
+            if place == "quoted":
+                place = "after" if sign == '"' else place
+            elif sign == sep:
+                place = "begin"
+            elif sign == '"' and place in ("begin", "after"):
+                place = "quoted"
+            else:
+                place = "plain"
+            k += wide
+        return place == "quoted"
+
+    draw = random.Random(3)
+    for sep in (",", "¦", "||", ";"):
+        lines = ["".join(draw.choices(['"', sep, "a", "é", "\r"], k=draw.randrange(9))) for _ in range(3000)]
+        from0, from1 = _Lexer(sep).steps(pa.array([x.encode() for x in lines], pa.binary()))
+        for line, a, b in zip(lines, from0, from1):
+            assert (a, b) == (walk(line, sep, False), walk(line, sep, True)), (sep, line)
