@@ -250,7 +250,8 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Open buckets with the same largest component form an area; a set is in the area of each of its
     buckets. Within an area every set outside the most frequent component meets all sets, block by block: blocks and slices are cut by
     their number of shingles, so a task holds a bounded part of an area of any size
-    and gives out links only, never the pairs it has looked at.
+    and gives out links only, never the pairs it has looked at, and of those only ones between components that no
+    link before has joined: fewer than it has components.
     """
     held = stored(members.select("member", "component").distinct().groupBy("component").count(), "held")
     present = stored(members.select("key", "component").distinct().join(held, "component"), "present")
@@ -289,17 +290,23 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         values = np.concatenate([lists[i] for i in x])
         order = np.argsort(values, kind="stable")
         owner, values = owner[order], values[order]
-        sizes, comps = np.array([len(lists[i]) for i in x]), np.array([parts[i] for i in x])
+        sizes = np.array([len(lists[i]) for i in x])
+        number = np.unique(parts, return_inverse=True)[1]
+        joined, asking = np.arange(number.max() + 1), number[x]  # of each component the group that links have put it in
         a, b = [], []
         for i in (i for i, q in enumerate(asks) if not q):
             low, high = np.searchsorted(values, lists[i]), np.searchsorted(values, lists[i], "right")
             n = high - low
             at = np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())
             shared = np.bincount(owner[at], minlength=len(x))
-            fit = (shared * 100 >= (sizes + len(lists[i]) - shared) * percent) & (comps != parts[i])
-            for k in np.flatnonzero(fit):
+            own = joined[number[i]]
+            fit = np.flatnonzero((shared * 100 >= (sizes + len(lists[i]) - shared) * percent) & (joined[asking] != own))
+            groups, first = np.unique(joined[asking[fit]], return_index=True)
+            for k in fit[first]:
                 a.append(min(ids[x[k]], ids[i]))
                 b.append(max(ids[x[k]], ids[i]))
+            if len(groups):
+                joined[np.isin(joined, groups)] = own
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return both.groupBy("area", "block", "slice").applyInArrow(compare, "a long, b long").distinct()

@@ -130,3 +130,21 @@ def test_collisions_are_told_apart(spark):
     found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, DOCS), hash_bits=1)
     assert {r.doc_id: r.keep_id for r in found.collect()} == {i: 15 + i % 5 for i in range(20)}
     assert found.agg(F.sum("group_size")).first()[0] == 80
+
+
+def test_the_last_step_of_near_dedup_gives_links_by_the_component(spark):
+    from paperweave.llm.near_dup import _rest
+
+    # 30 sets of one component and 20 sets by themselves, all similar; two pairs apart from them.
+    near = [(n, list(range(100)) + [1000 + n], 0 if n < 30 else n) for n in range(50)]
+    apart = [(n, list(range(n // 2 * 1000, n // 2 * 1000 + 50)), n) for n in range(60, 64)]
+    rows = [(1, n, len(s), c) for n, s, c in near + apart]
+    members = spark.createDataFrame(rows, "key long, member long, size int, component long")
+    sets = spark.createDataFrame([(n, s) for n, s, _ in near + apart], "id long, shingles array<long>")
+    links = [tuple(r) for r in _rest(members, sets, 80).collect()]
+    assert len(links) <= 22
+    group = {n: c for n, _, c in near + apart}
+    for a, b in links:
+        group = {n: group[a] if g == group[b] else g for n, g in group.items()}
+    assert len({group[n] for n in range(50)}) == 1 and group[60] == group[61] and group[62] == group[63]
+    assert len(set(group.values())) == 3
