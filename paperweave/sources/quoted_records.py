@@ -217,6 +217,8 @@ def quoted_records(spark: SparkSession, path: str | list[str], sep: str = ",", h
     """
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    if spark.read.option("lineSep", "\n").text(path).filter(F.col("value").contains('"')).isEmpty():
+        return None
     ship(spark)
     lexer = _Lexer(sep)
     lines = _lines(spark, path)

@@ -220,3 +220,16 @@ def test_triples_form_a_set_and_titles_concatenate(spark, rows):
     assert abox_triples(tables, NS, null_literal="nan").filter("o = 'nan'").count() == 1
     assert rows(author_titles(triples, NS), "author", "titles") == [("Barbara", "Brooks Automation, Enterprise Architectures")]
     assert knowledge_graph(spark, tables, NS).count() == 96 + 9
+
+
+def test_tasks_of_keywords_follow_the_size_of_the_texts(spark, monkeypatch):
+    from paperweave.operators import keywords
+
+    texts = [(n, " ".join(f"w{(n * k) % 37}" for k in range(60))) for n in range(120)] + [(None, "a lone w1"), (3, "w1 twice"), (500, None)]
+    docs = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    whole = sorted(keywords.keywords_topk(docs, "id", "text").collect(), key=str)
+    parts, cut = [], keywords.cut_lineage
+    monkeypatch.setattr(keywords, "cut_lineage", lambda df: parts.append(df.rdd.getNumPartitions()) or cut(df))
+    small = keywords.keywords_topk(docs, "id", "text", task_bytes=1000)
+    assert sorted(small.collect(), key=str) == whole
+    assert parts[0] >= 20
