@@ -143,6 +143,37 @@ def test_a_comment_longer_than_ranges(spark, tmp_path, monkeypatch):
     assert sorted((cells(r)["key"][0], cells(r)["t"][0]) for r in found) == [("a", "1"), ("b", "23")]
 
 
+def test_steps_are_computed_where_chunks_lie(spark, tmp_path, monkeypatch):
+    """Chunks aren't gathered by file before their steps are known: one file's would meet in one task."""
+    records = "".join(f'<article key="k{i}"><title>t{i}</title>{"<!-- </article> -->" * (i % 3 == 0)}</article>' for i in range(60))
+    (tmp_path / "dump.xml").write_text(f"<r>{records}</r>")
+    plans, keep = {}, xml.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(xml, "stored", stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = xml.read_xml_records(spark, str(tmp_path / "dump.xml"), ["article", "book"], "</article>").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(cells(r)["key"][0] for r in found) == sorted(f"k{i}" for i in range(60))
+    assert "SortMergeJoin" not in plans["xml-steps"]
+
+
+def test_a_chunk_without_marks_keeps_other_modes(spark):
+    """The short way of chunks that begin and end nothing gives the steps of the long one."""
+    lexer = xml._Lexer(["article", "book"])
+    texts = ["<article>", "</article>", "<book/> x", "</book><article key='1'>a", "text <b>", "<article></article><book>", "</article> </book>", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "chunk string")
+    rows = xml._plain(rows, {"": F.lit(0)}).withColumn("last", lexer.last("plain")).withColumn("code", lexer.code(F.col("end"), "last")).drop("plain", "end", "last")
+    short = {r["chunk"]: r["to"] for r in lexer.steps(rows).collect()}
+    long = {r["chunk"]: r["to"] for r in lexer._steps(rows, [0, 1, 2, 3]).collect()}
+    assert short == long and len(short) == len(texts)
+
+
 def test_a_rare_type_makes_no_large_chunk(spark, tmp_path):
     text = "<r>" + "".join(f'<article key="{i}"><t>y</t></article>' for i in range(4000)) + '<book key="b"><t>z</t></book></r>'
     (tmp_path / "rare.xml").write_text(text)
