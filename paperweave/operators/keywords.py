@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import CELL_SEPARATOR, col
-from ..session import cut_lineage, shuffle_partitions
+from ..session import cut_lineage, planned_shuffles, shuffle_partitions, stored
 
 # Frequent function words that are never keywords.
 STOP_WORDS = [
@@ -86,8 +86,10 @@ def keywords_topk(
     )
     # Written once: the counts are read for the statistics and for the scores, and
     # a join of two written tables can split a term that nearly every text has.
-    tf = cut_lineage(tf)
-    df = cut_lineage(tf.groupBy("term").agg(F.count("*").alias("df")))
+    # The statistics' size is known then: where they are few they come to the counts, which stay by key up to the end.
+    with planned_shuffles(documents.sparkSession):  # a fixed layout is known to lie by key when it is read again
+        tf = cut_lineage(tf)
+    df = stored(tf.groupBy("term").agg(F.count("*").alias("df")), "term-counts")
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df")))
     listed = F.col("term").isin(vocabulary) if vocabulary else F.lit(False)
     scored = tf.join(df, "term").select(

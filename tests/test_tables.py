@@ -233,3 +233,11 @@ def test_tasks_of_keywords_follow_the_size_of_the_texts(spark, monkeypatch):
     small = keywords.keywords_topk(docs, "id", "text", task_bytes=1000)
     assert sorted(small.collect(), key=str) == whole
     assert parts[0] >= 20
+
+
+def test_counts_of_terms_stay_by_key(spark):
+    """Scores are ranked in the layout that terms were counted in, which is cut by the size of the texts."""
+    docs = spark.createDataFrame([(f"k{i % 40}", f"word{i} shared term{i % 7}") for i in range(120)], "id string, text string")
+    best = keywords_topk(docs, "id", "text", task_bytes=100)
+    assert "hashpartitioning(id" not in best._jdf.queryExecution().executedPlan().toString()
+    assert best.rdd.getNumPartitions() > 8 and best.count() == 40
