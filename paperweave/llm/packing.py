@@ -16,6 +16,7 @@ from .common import map_rows, ship, stored
 from .tokens import encoder
 
 SHARD_PIECES = 16_384
+WORDS = 150_000  # a worker's cache holds two generations of so many; with 500,000 it took some 300 MB beside all that earlier stages left
 CLASSES = 32
 PARTS = 4
 
@@ -143,7 +144,7 @@ def token_pieces(
     """
 
     def pieces(rows):
-        known = encoder(path)
+        known = encoder(path, WORDS)
         end = np.array([end_id], "<u4")
         for identity, text in rows:
             ids = np.frombuffer(known.encode(text.decode("utf-8", "replace") if text else ""), known.dtype)

@@ -53,7 +53,7 @@ class Recent(dict):
 class Encoder:
     """``encode(text)`` gives the ids as bytes of ``dtype``, equal to the library's with no special tokens added."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -65,8 +65,8 @@ class Encoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.lowers = self.library.normalizer is not None
-        self.bare = Recent(self._bare, CACHE)  # stretches as they are
-        self.led = Recent(lambda word: self._bare(" " + word), CACHE)  # stretches after one blank
+        self.bare = Recent(self._bare, cache or CACHE)  # stretches as they are
+        self.led = Recent(lambda word: self._bare(" " + word), cache or CACHE)  # stretches after one blank
 
     def _bytes(self, ids) -> bytes:
         return array(self.code, ids).tobytes()
@@ -119,8 +119,8 @@ class Encoder:
 ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker and vocabulary; its caches outlive a task."""
+def encoder(path: str, cache: int | None = None) -> Encoder:
+    """One encoder for each worker and vocabulary; its caches outlive a task. ``cache`` bounds a generation of each cache."""
     if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path)
+        ENCODERS[path] = Encoder(path, cache)
     return ENCODERS[path]
