@@ -11,6 +11,8 @@ from paperweave.llm.common import draw, stored, without
 from paperweave.llm.exact_dedup import exact_duplicates
 from paperweave.llm.near_dup import near_duplicates
 
+WORDS = 150_000  # a generation of a packing worker's cache: the default took some 300 MB beside all that earlier stages leave
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; labels of the held-out fold aren't learned from."""
@@ -36,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, piece, start, length, ids, sequence_id, offset)``: token pieces and their place in sequences of 2048."""
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0))
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, words=WORDS))
 
 
 STAGES = [

@@ -16,7 +16,6 @@ from .common import map_rows, ship, stored
 from .tokens import encoder
 
 SHARD_PIECES = 16_384
-WORDS = 150_000  # a worker's cache holds two generations of so many; with 500,000 it took some 300 MB beside all that earlier stages left
 CLASSES = 32
 PARTS = 4
 
@@ -135,16 +134,23 @@ def plan(lengths: np.ndarray, capacity: int, classes: int = CLASSES, parts: int
 
 
 def token_pieces(
-    docs: DataFrame, path: str, end_id: int, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    end_id: int,
+    capacity: int = 2048,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int | None = None,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: the ids of each text, then ``end_id``, cut to ``capacity``.
 
     ``ids`` is little-endian unsigned 32-bit. A null text counts as empty: one piece with
     the end id alone. Every row has pieces of its own, also rows that repeat an id.
+    ``words`` bounds a generation of a worker's cache: fewer take less memory and more time, ids are the same.
     """
 
     def pieces(rows):
-        known = encoder(path, WORDS)
+        known = encoder(path, words)
         end = np.array([end_id], "<u4")
         for identity, text in rows:
             ids = np.frombuffer(known.encode(text.decode("utf-8", "replace") if text else ""), known.dtype)

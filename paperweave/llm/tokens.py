@@ -116,11 +116,11 @@ class Encoder:
         return b"".join(parts[:-1])
 
 
-ENCODERS: dict[str, Encoder] = {}
+ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
 def encoder(path: str, cache: int | None = None) -> Encoder:
     """One encoder for each worker and vocabulary; its caches outlive a task. ``cache`` bounds a generation of each cache."""
-    if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path, cache)
-    return ENCODERS[path]
+    if (path, cache) not in ENCODERS:
+        ENCODERS[path, cache] = Encoder(path, cache)
+    return ENCODERS[path, cache]

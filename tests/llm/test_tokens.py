@@ -150,15 +150,18 @@ def test_index_of_nothing(spark):
 
 def test_packing_keeps_few_words(spark, monkeypatch):
     """A worker that packs holds a bounded cache beside what the stages before it have left."""
-    path, kept = public_tokenizers.path("word_bpe_49k.json"), {}
+    import corpus_pipeline
+
+    kept = {}
     monkeypatch.setattr(tokens, "ENCODERS", {})
     monkeypatch.setattr(packing, "map_rows", lambda df, handle, schema: kept.setdefault("handle", handle) and df)
-    packing.token_pieces(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), path, end_id=0)
+    monkeypatch.setattr(packing, "pack", lambda pieces: pieces)
+    corpus_pipeline.pack_sequences(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), "")
     ids = [np.frombuffer(row[4], "<u4").tolist() for row in kept["handle"]([(1, b"a b"), (2, None)])]
-    known = tokens.ENCODERS[path]
+    (known,) = tokens.ENCODERS.values()
     assert ids == [[*np.frombuffer(known.encode("a b"), known.dtype).tolist(), 0], [0]]
-    assert known.bare.limit == packing.WORDS <= 150_000
-    small = tokens.Encoder(path, cache=10)
+    assert known.bare.limit <= 150_000
+    small = tokens.Encoder(WORDS, cache=10)
     for n in range(100):
         assert small.encode(f"w{n} x{n}") == known.encode(f"w{n} x{n}")
         assert len(small.bare) <= 11 and len(small.bare.before) <= 11
