@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, keep, planned_shuffles, shuffle_partitions
-from .graph import endpoints
-from .pregel import PartitionedEdges
+from ..session import cut_lineage, planned_shuffles
+from .rank_blocks import RankBlocks
 
 
 def pagerank_sweep(
@@ -20,46 +19,26 @@ def pagerank_sweep(
     """``id, reset_prob, max_iter, pagerank`` for the whole parameter grid.
 
     Each reset probability is one column of the same state, so the sweep costs
-    one run of ``max(max_iters)`` rounds: per round one join without a shuffle
-    and one shuffle of partially summed contributions.  Ranks start at 1 and
-    the result is scaled so that they sum to the number of vertices.  Parallel
-    edges count.  ``rounds_per_job`` rounds form one job, at whose end the ranks
-    are checkpointed; a round reads the one before once, so nothing is computed twice.
+    one run of ``max(max_iters)`` rounds: per round one shuffle of summed
+    contributions, 8 bytes for each pair of a block of sources and a destination (see
+    ``rank_blocks``). Ranks start at 1 and the result is scaled so that they sum to the
+    number of vertices.  Parallel edges count.  ``rounds_per_job`` rounds form one job, at
+    whose end the ranks are checkpointed; a round reads the one before once, so nothing is computed twice.
     """
-    parts = shuffle_partitions(edges.sparkSession)
-    laid_out = PartitionedEdges(edges.select("src", "dst"))
-    ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
-    degree = laid_out.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
-    with planned_shuffles(edges.sparkSession):
-        base = keep(ids.repartition(parts, "id").join(degree, "id", "left"))
-        base.count()
     names = [f"r{i}" for i in range(len(reset_probs))]
-    ranks = base.select("id", "degree", *[F.lit(1.0).alias(n) for n in names])
-    snapshots = {0: ranks} if 0 in max_iters else {}
+    probs, last = [float(p) for p in reset_probs], max(max_iters)
+    laid_out = RankBlocks(edges, vertices)
+    arrived, snapshots = None, {}
     with planned_shuffles(edges.sparkSession):
-        for i in range(1, max(max_iters) + 1):
-            sums = (
-                laid_out.from_sources(
-                    ranks.filter("degree IS NOT NULL").select(
-                        "id", *[(F.col(n) / F.col("degree")).alias(n) for n in names]
-                    )
-                )
-                .select(F.col("edge.dst").alias("id"), *[F.col(f"src.{n}").alias(n) for n in names])
-                .groupBy("id")
-                .agg(*[F.sum(n).alias(f"in_{n}") for n in names])
-            )
-            ranks = base.join(sums.hint("shuffle_hash"), "id", "left").select(
-                "id",
-                "degree",
-                *[
-                    (F.lit(p) + F.lit(1.0 - p) * F.coalesce(f"in_{n}", F.lit(0.0))).alias(n)
-                    for n, p in zip(names, reset_probs)
-                ],
-            )
-            if i in max_iters or i % rounds_per_job == 0:
-                ranks = cut_lineage(ranks)
-            if i in max_iters:
-                snapshots[i] = ranks
+        for i in range(last + 1):
+            if i:
+                arrived = laid_out.send(arrived, probs)
+            if i in max_iters or (i and i % rounds_per_job == 0):
+                ranks = laid_out.ranks(arrived, probs)
+                if i < last:
+                    arrived = ranks = cut_lineage(ranks)
+                if i in max_iters:
+                    snapshots[i] = cut_lineage(laid_out.named(ranks, names))
     frames = []
     for i, snapshot in snapshots.items():
         totals = snapshot.agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).first()
@@ -80,7 +59,6 @@ def pagerank_sweep(
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)
-    base.unpersist()
     laid_out.release()
     return result
 

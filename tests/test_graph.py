@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paperweave.operators.graph import graph_build, triplets
 from paperweave.operators.pagerank import pagerank, pagerank_sweep, top_ranked
 from paperweave.operators.pregel import PartitionedEdges, graph_max_value, pregel, propagate_max
+from paperweave.operators.rank_blocks import RankBlocks
 from paperweave.operators.shortest_paths import render_paths, shortest_costs, shortest_costs_by_bucket, shortest_paths
 
 MAX_VERTICES = [(1, 9), (2, 1), (3, 6), (4, 8)]
@@ -147,6 +148,37 @@ def test_pagerank_sweep_counts_parallel_edges(spark):
             assert found == pytest.approx(brute_pagerank([1, 2, 3], edges, reset, rounds))
 
 
+def test_rank_messages_hold_a_number_for_a_block_and_destination(spark, random_edges):
+    edges = [(f"v{s}", f"v{d}") for s, d, _ in random_edges] + [("v0", "v0"), ("v1", "v0"), ("v1", "v0")]
+    e = spark.createDataFrame([*edges, (None, "v1"), ("v1", None)], "src string, dst string")
+    vertices = sorted({x for edge in edges for x in edge})
+    expected = brute_pagerank(vertices, edges, 0.4, 3)
+    for min_hot_rows in (200_000, 10):  # with 10, v0 sends from several blocks and gets its sums in each
+        laid_out = RankBlocks(e, block_edges=20, min_hot_rows=min_hot_rows)
+        places = laid_out.names.selectExpr("place", "explode(ids) AS id").filter("id = 'v0'").count()
+        assert places == 1 if min_hot_rows > 10 else places > 1
+        arrived, size = None, []
+        for _ in range(3):
+            arrived = laid_out.send(arrived, [0.4])
+            size.append(arrived.agg(F.sum(F.length("a"))).first()[0])
+        assert size == size[:1] * 3 and size[0] < 8 * len(set(edges)) + 8 * places * laid_out.blocks
+        found = {r["id"]: r["r"] for r in laid_out.named(laid_out.ranks(arrived, [0.4]), ["r"]).collect()}
+        scale = len(vertices) / sum(found.values())
+        assert {v: r * scale for v, r in found.items()} == pytest.approx(expected)
+        laid_out.release()
+
+
+def test_pagerank_of_given_vertices_and_no_edges(spark):
+    e = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (1, 4)], "src int, dst int")
+    v = spark.createDataFrame([(1,), (2,), (2,), (5,), (None,)], "id long")
+    found = {r["id"]: r["pagerank"] for r in pagerank(e, 0.5, 1, v).collect()}
+    # 3 is no vertex and sends nothing; half of what 1 sends goes to 4, which is none either.
+    total = 1.0 + 0.75 + 0.5 + 0.5
+    assert found == pytest.approx({1: 4 / total, 2: 3 / total, 5: 2 / total, None: 2 / total})
+    assert {r["id"]: r["pagerank"] for r in pagerank(e.limit(0), 0.5, 1, v).collect()} == pytest.approx(dict.fromkeys([1, 2, 5, None], 1.0))
+    assert pagerank(e.limit(0)).collect() == []
+
+
 def test_graph_build_and_triplets(spark, rows):
     v = spark.createDataFrame([(1, 9)], "id long, value long")
     e = spark.createDataFrame([(1, 2)], "src long, dst long")
