@@ -46,5 +46,10 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     )
 
 
-def write_ntriples(triples: DataFrame, path: str) -> None:
-    ntriples_lines(triples).withColumnRenamed("line", "value").write.mode("overwrite").text(path)
+def write_ntriples(triples: DataFrame, path: str, compression: str = "gzip", file_lines: int = 1_000_000) -> None:
+    """Lines repeat most of their IRIs, so files are compressed (``none`` for plain ones).
+
+    A compressed file is read by one task, hence no file has more than ``file_lines`` lines.
+    """
+    lines = ntriples_lines(triples).withColumnRenamed("line", "value")
+    lines.write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", file_lines).text(path)

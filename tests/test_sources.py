@@ -410,3 +410,21 @@ def test_quoted_lines_end_as_a_walk_over_their_signs_says(spark):
         from0, from1 = _Lexer(sep).steps(pa.array([x.encode() for x in lines], pa.binary()))
         for line, a, b in zip(lines, from0, from1):
             assert (a, b) == (walk(line, sep, False), walk(line, sep, True)), (sep, line)
+
+
+def test_ntriples_files_are_compressed_and_bounded(spark, tmp_path, rows):
+    n = 3000
+    triples = spark.range(n).select(
+        F.format_string("http://example.org/papers/%d", "id").alias("s"), F.lit("http://example.org/ontology#title").alias("p"),
+        F.format_string('a "title"\nof paper %d', "id").alias("o"), F.lit(True).alias("o_is_literal"),
+    )
+    lines = rows(graph_files.ntriples_lines(triples))
+    for compression, most in (("gzip", 1000), ("none", 10**6)):
+        path = tmp_path / compression
+        graph_files.write_ntriples(triples.coalesce(1), str(path), compression, most)
+        files = list(path.glob("part-*"))
+        assert rows(spark.read.text(str(path))) == lines
+        assert len(files) == -(-n // most)
+        assert compression == "none" or sum(f.stat().st_size for f in files) * 5 < sum(len(x[0]) for x in lines)
+    graph_files.write_ntriples(triples, str(tmp_path / "own"))
+    assert sum(f.stat().st_size for f in (tmp_path / "own").glob("part-*")) * 5 < sum(len(x[0]) for x in lines)
