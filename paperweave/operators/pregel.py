@@ -79,6 +79,11 @@ class PartitionedEdges:
         how = "broadcast" if rows is not None and rows <= FEW_SOURCES else "merge"
         return sources.alias("src").hint(how).join(self._aliased, self._on)
 
+    def ends(self) -> DataFrame:
+        """Distinct ids on either side; sources are made distinct where they lie."""
+        sources = self.edges.select(F.col("src").alias("id")).distinct()
+        return sources.union(self.edges.select("dst").distinct()).distinct()
+
     def release(self) -> None:
         self.edges.unpersist()
 
@@ -105,7 +110,9 @@ class VertexState:
         self.columns = vertices.columns
         self.schema = vertices.schema
         self.parts = shuffle_partitions(vertices.sparkSession)
-        self.base, self.size = _measured(self._laid_out(vertices))
+        # A plan that AQE may change has no partitioning that a checkpoint could hand on: each round would shuffle the base again.
+        with planned_shuffles(vertices.sparkSession):
+            self.base, self.size = _measured(self._laid_out(vertices))
         self.runs: list[tuple[int, int, DataFrame]] = []  # level, rows, changed rows
         self.written = 0
         self.changes = 0

@@ -44,7 +44,7 @@ def shortest_costs(
     kind = _cost_type(edges, weight)
     laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast(kind).alias("w")))
     _check_weights(laid_out.edges, "w", max_iter)
-    ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
+    ids = vertices.select("id").distinct() if vertices is not None else laid_out.ends()
     is_source = F.col("id") == F.lit(source)
     found = pregel(
         ids.select("id", F.when(is_source, F.lit(0)).cast(kind).alias("dist")),
@@ -86,7 +86,10 @@ def shortest_costs_by_bucket(
         raise ValueError("width must be above 0")
     light = PartitionedEdges(weighted.filter(F.col("w") <= F.lit(width)))
     dear = PartitionedEdges(weighted.filter(F.col("w") > F.lit(width)))
-    ids = vertices.select("id").distinct() if vertices is not None else endpoints(edges)
+    if vertices is None:
+        left_out = edges.filter(F.col(weight).cast(kind).isNull() | F.col("src").isNull() | F.col("dst").isNull())
+        vertices = light.ends().union(dear.ends()).union(endpoints(left_out))
+    ids = vertices.select("id").distinct()
     is_source = F.col("id") == F.lit(source)
     bucket = F.floor(F.col("dist") / F.lit(width)).cast("long")
     state = VertexState(
@@ -176,7 +179,7 @@ def shortest_paths(
     kind = _cost_type(edges, weight)
     laid_out = PartitionedEdges(edges.select("src", "dst", F.col(weight).cast(kind).alias("w")))
     _check_weights(laid_out.edges, "w", max_iter)
-    ids = vertices.select("id").distinct() if vertices is not None else endpoints(laid_out.edges)
+    ids = vertices.select("id").distinct() if vertices is not None else laid_out.ends()
     is_source = F.col("id") == F.lit(source)
     zero = F.when(is_source, F.lit(0))
     better = (F.col("msg.dist") < F.col("state.dist")) | (

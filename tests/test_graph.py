@@ -6,11 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from paperweave import driver_queries, views
 from paperweave.operators.graph import graph_build, triplets
 from paperweave.operators.pagerank import pagerank, pagerank_sweep, top_ranked
-from paperweave.operators.pregel import PartitionedEdges, graph_max_value, pregel, propagate_max
+from paperweave.operators.pregel import PartitionedEdges, VertexState, graph_max_value, pregel, propagate_max
 from paperweave.operators.rank_blocks import RankBlocks
 from paperweave.operators.shortest_paths import render_paths, shortest_costs, shortest_costs_by_bucket, shortest_paths
+from paperweave.operators.skew import hot_keys
+from paperweave.session import planned_shuffles
 
 MAX_VERTICES = [(1, 9), (2, 1), (3, 6), (4, 8)]
 MAX_EDGES = [(1, 2), (2, 3), (2, 4), (3, 4), (3, 1)]
@@ -244,3 +247,57 @@ def test_buckets_odd_inputs(spark):
         found([(1, 2, -1)])
     with pytest.raises(ValueError):
         found([(1, 2, 1)], width=0)
+
+
+def test_a_round_shuffles_messages_only(spark):
+    chain = spark.range(200).select("id", F.lit(None).cast("long").alias("dist"))
+    state = VertexState(chain.unionByName(chain.limit(3)))
+    with planned_shuffles(spark):
+        met = state.meet(spark.range(50).groupBy("id").agg(F.count("*").alias("msg")))
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("Exchange") == 1  # of the messages
+    assert "Sort " not in plan.split("InMemoryRelation")[0].split("InMemoryTableScan")[-1]
+    assert met.count() == 50 and state.size == 200
+    state.release()
+
+
+def test_numbered_trade_graph_has_the_same_costs(spark, tmp_path, rows):
+    def tables(at, last):
+        cells = {
+            "orders": ([(0, 1), (0, 2), (None, 3), (-7, 4), (last, 5), (0, None)], "o_custkey long, o_orderkey long"),
+            "lineitem": (
+                [(1, 10, 20, 1, 5.0), (1, 10, 20, 3, 9.0), (2, 10, 21, None, None), (2, 11, 21, 2, 4.0), (None, 12, 22, 1, 1.0), (5, 13, None, 1, 1.0)],
+                "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double",
+            ),
+            "supplier": ([(20, 0), (21, 1), (22, None)], "s_suppkey long, s_nationkey long"),
+            "customer": ([(0, 0), (-7, 1), (last, 1)], "c_custkey long, c_nationkey long"),
+        }
+        for name, (data, schema) in cells.items():
+            spark.createDataFrame(data, schema).write.parquet(f"{at}/{name}.parquet")
+        return str(at)
+
+    for last, fits in ((2**59 - 1, True), (2**59, False)):
+        sf = tables(tmp_path / str(last), last)
+        assert views.trade_keys_fit(spark, sf) == fits
+        expected = rows(shortest_costs(views.trade_edges(spark, sf), "C0").select("id", F.coalesce("dist", F.lit(-1))))
+        assert ("C-7", 9) in expected and (f"C{last}", 9) in expected
+        assert rows(driver_queries.sssp_cost(spark, sf).select("id", F.coalesce("dist", F.lit(-1)))) == expected
+    whole = str(tmp_path / str(2**59 - 1))
+    numbered = views.trade_edges_numbered(spark, whole)
+    assert dict(numbered.dtypes)["src"] == "bigint"
+    named = numbered.groupBy(views.trade_name("src").alias("src"), views.trade_name("dst").alias("dst")).agg(F.min("weight").alias("weight"))
+    same = views.trade_edges(spark, whole)
+    assert named.exceptAll(same).isEmpty() and same.exceptAll(named).isEmpty()
+    costs = driver_queries.shortest_costs_by_bucket(views.trade_edges(spark, whole), "C0")
+    found = driver_queries.sssp_buckets(spark, whole)
+    assert found.exceptAll(costs).isEmpty() and costs.exceptAll(found).isEmpty()
+    eighths = driver_queries.sssp_cost_fractional(spark, whole).select("id", (F.col("dist") * 8).cast("long").alias("dist"))
+    exact = driver_queries.sssp_cost(spark, whole)
+    assert eighths.exceptAll(exact).isEmpty() and exact.exceptAll(eighths).isEmpty()
+
+
+def test_hot_keys_are_counted_where_a_hash_is_full(spark):
+    df = spark.createDataFrame([("a",)] * 60 + [("b",)] * 50 + [(None,)] * 90 + [(str(i),) for i in range(10)], "k string")
+    assert hot_keys(df, "k", 10) == [("a", 60)]  # a share is 210 / 4 rows
+    assert hot_keys(df, "k", 60) == []
+    assert hot_keys(df.filter("k IS NULL"), "k", 10) == []
