@@ -1,19 +1,23 @@
 import collections
+import string
 
 from pyspark.sql import functions as F
 
 from paperweave.functions import cells
-from paperweave.functions.cells import to_year
+from paperweave.functions.cells import mint_iri, to_year
+from paperweave.operators import entities
 from paperweave.operators import relational as rel
 from paperweave.operators.entities import assign_affiliations, assign_reviewers, dense_ids, relation_normalize, reviewer_cells
 from paperweave.operators.keywords import keywords_topk, venue_last_mention
 from paperweave.operators.ontology import tbox_triples
 from paperweave.operators.propgraph import set_edge_properties
 from paperweave.operators.skew import hot_keys, lookup
-from paperweave.operators.triples import author_titles, props_of_domains
+from paperweave.operators.triples import RDF_TYPE, author_titles, props_of_domains
 from paperweave.plans import bibliography as bib
+from paperweave.plans import knowledge_graph as kg
 from paperweave.plans import property_graph as pg
 from paperweave.plans.knowledge_graph import abox_triples, knowledge_graph
+from paperweave.session import cut_lineage
 
 NS = "http://example.org/biblio/"
 
@@ -241,3 +245,45 @@ def test_counts_of_terms_stay_by_key(spark):
     best = keywords_topk(docs, "id", "text", task_bytes=100)
     assert "hashpartitioning(id" not in best._jdf.queryExecution().executedPlan().toString()
     assert best.rdd.getNumPartitions() > 8 and best.count() == 40
+
+
+def test_draws_of_reviewers_move_to_their_record_once(spark, monkeypatch):
+    df = spark.createDataFrame([(f"p{i}", f"a{j}") for i in range(40) for j in range(i % 4, i % 4 + 3)] + [("big", f"a{j}") for j in range(5)], "key string, author string")
+    expected = sorted(tuple(r) for r in assign_reviewers(df, 3, batch=2).collect())
+    plans = []
+
+    def cut(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(rows)
+
+    monkeypatch.setattr(entities, "cut_lineage", cut)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(tuple(r) for r in assign_reviewers(df, 3).collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    first = next(p for p in plans if "collect_list" in p)
+    # Draws and rows by number, both together by record.
+    assert first.count("hashpartitioning(") == 3
+    # A record with very many authors meets them apart from the others.
+    monkeypatch.setattr(entities, "hot_keys", lambda *_: [("big", 5)])
+    assert sorted(tuple(r) for r in assign_reviewers(df, 3).collect()) == expected
+    reviews = {r["key"]: r["reviewer"] for r in bib.generate_reviews(df.groupBy("key").agg(F.array_join(F.collect_list("author"), "|").alias("author"))).collect()}
+    assert reviews == {k: "|".join(r for key, r, _ in sorted(expected, key=lambda x: x[2]) if key == k) for k, _, _ in expected}
+
+
+def test_iris_are_made_once_a_row_and_compared_without_the_namespace(spark, rows):
+    signs = "".join(map(chr, range(1, 128))) + "é👍"
+    df = spark.createDataFrame([(signs, "Poster"), ("a b", None)], "id string, type string")
+    made = {r[0] for r in df.select(mint_iri("id", "n/")).collect()}
+    assert made == {"n/" + s.translate(str.maketrans(dict.fromkeys(string.punctuation + " ", "_"))) for s in (signs, "a b")}
+    papers = df.select("id", F.lit("t").alias("title"), F.lit(None).cast("string").alias("year"), "type")
+    found = kg.abox_triples({"papers": papers.union(papers)}, "http://ns/")
+    assert sorted((r["p"], r["o"], r["o_is_literal"]) for r in found.collect()) == [
+        ("http://ns/title", "t", True), ("http://ns/title", "t", True), (RDF_TYPE, "http://ns/Poster", False)
+    ]
+    assert found.exceptAll(kg.abox_rows({"papers": papers}, "http://ns/")).isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [line for line in plan if "Generate explode" in line]
+    assert made and not any("translate(" in line or "regexp_replace(" in line for line in made)
+    assert not any("http://ns/" in line for line in made + [line for line in plan if "HashAggregate" in line])
