@@ -235,8 +235,8 @@ def _scaled(name: str, reset: float, it: int) -> str:
 _PAGERANK = f"""WITH RECURSIVE {_named([*_trade(), _FLOW])}, {_ranks('pr', 0.7, 20)}
 SELECT id, pagerank FROM ({_scaled('pr', 0.7, 20)})"""
 
-_SWEEP = f"""WITH RECURSIVE {_named([*_trade(), _FLOW])}, {_ranks('a', 0.7, 4)}, {_ranks('b', 0.15, 4)}
-{' UNION ALL '.join(_scaled(n, p, i) for n, p in (('a', 0.7), ('b', 0.15)) for i in (2, 4))}"""
+_SWEEP = f"""WITH RECURSIVE {_named([*_trade(), _FLOW])}, {_ranks('a', 0.7, 20)}, {_ranks('b', 0.15, 20)}
+{' UNION ALL '.join(_scaled(n, p, i) for n, p in (('a', 0.7), ('b', 0.15)) for i in (2, 4, 20))}"""
 
 # Property graph
 

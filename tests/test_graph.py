@@ -151,6 +151,32 @@ def test_pagerank_sweep_counts_parallel_edges(spark):
             assert found == pytest.approx(brute_pagerank([1, 2, 3], edges, reset, rounds))
 
 
+@pytest.fixture(scope="module")
+def trade(spark, tmp_path_factory):
+    """A folder of trade tables; two lines of an order name the same part and supplier."""
+    folder = str(tmp_path_factory.mktemp("trade"))
+    tables = {
+        "orders": ("o_custkey long, o_orderkey long", [(c, 10 * c + k) for c in range(4) for k in range(3)] + [(None, 77)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double",
+                     [(10 * c + k, (c + n) % 5, (c * k + n) % 3, n, 2.0) for c in range(4) for k in range(3) for n in (1, 2, 6)] + [(0, None, 1, 7, 1.0)]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(0, 0), (1, 1), (2, 0)]),
+        "customer": ("c_custkey long, c_nationkey int", [(c, c % 2) for c in range(5)]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_pagerank_sweep_query_does_all_rounds(spark, trade):
+    edges = [(r["src"], r["dst"]) for r in views.trade_edges(spark, trade).dropna(subset=["src", "dst"]).collect()]
+    vertices = sorted({x for e in edges for x in e})
+    grid = driver_queries.pagerank_grid(spark, trade).collect()
+    assert {(r["reset_prob"], r["max_iter"]) for r in grid} == {(p, n) for p in (0.7, 0.15) for n in (2, 4, 20)}
+    for reset in (0.7, 0.15):
+        found = {r["id"]: r["pagerank"] for r in grid if (r["reset_prob"], r["max_iter"]) == (reset, 20)}
+        assert found == pytest.approx(brute_pagerank(vertices, edges, reset, 20), abs=1e-6)
+
+
 def test_rank_messages_hold_a_number_for_a_block_and_destination(spark, random_edges):
     edges = [(f"v{s}", f"v{d}") for s, d, _ in random_edges] + [("v0", "v0"), ("v1", "v0"), ("v1", "v0")]
     e = spark.createDataFrame([*edges, (None, "v1"), ("v1", None)], "src string, dst string")
