@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import keep, planned_shuffles, shuffle_partitions, ship
+from ..session import cut_lineage, planned_shuffles, release_unused, shuffle_partitions, ship
 from .graph import endpoints
 from .skew import MIN_HOT_ROWS
 
-# Edges that a block should have at most; more edges make more blocks.
-BLOCK_EDGES = 1 << 22
+# Edges that a block should have at most; more edges make more blocks. A worker holds one block at a time.
+BLOCK_EDGES = 1 << 20
+
+# Hashes that sources are counted by, for each partition.
+_HASHES = 16
 
 # Rows of the layout by kind: edges of a block, its vertices, the sums it sends to another block, those it gets.
 EDGES, VERTICES, TO, FROM, GIVEN, NAMES = range(6)
@@ -52,35 +55,39 @@ class RankBlocks:
     """The layout of ``edges`` (``src, dst``), and the two steps of a round on it.
 
     Without ``vertices`` all ends of edges are vertices; with them, others neither
-    send nor are in the result. A source with more than a block's share of all edges is a
+    send nor are in the result. Parallel edges count, or with ``parallel=False`` are one. A source with more than a block's share of all edges is a
     vertex of several blocks, each with a part of its edges; there are at most two such places a block.
+    ``edges`` is read twice. What a step of the layout leaves behind is dropped before the next: the tables of blocks are checkpoints.
     """
 
-    def __init__(self, edges: DataFrame, vertices: DataFrame | None = None, block_edges: int = BLOCK_EDGES, min_hot_rows: int = MIN_HOT_ROWS):
+    def __init__(
+        self, edges: DataFrame, vertices: DataFrame | None = None, block_edges: int = BLOCK_EDGES, min_hot_rows: int = MIN_HOT_ROWS, parallel: bool = True
+    ):
         spark = edges.sparkSession
         ship(spark)
         self.parts = shuffle_partitions(spark)
         ends = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst")
         named = endpoints(ends) if vertices is None else vertices.select("id").union(endpoints(ends))
         self.id_type = named.schema["id"].dataType
-        ends = keep(ends.select(F.col("src").cast(self.id_type).alias("src"), F.col("dst").cast(self.id_type).alias("dst")))
-        by_hash = ends.groupBy(F.pmod(F.xxhash64("src"), F.lit(self.parts)).alias("h")).agg(F.count("*").alias("n")).collect()
-        total = sum(r["n"] for r in by_hash)
-        self.blocks = max(min(self.parts, 2 * spark.sparkContext.defaultParallelism), -(-total // block_edges))
+        ends = ends.select(F.col("src").cast(self.id_type).alias("src"), F.col("dst").cast(self.id_type).alias("dst"))
+        hashed = F.pmod(F.xxhash64("src"), F.lit(self.parts * _HASHES))
+        by_hash = ends.groupBy(hashed.alias("h")).agg(F.count("*").alias("n")).collect()
+        self.edges = sum(r["n"] for r in by_hash)
+        self.blocks = max(min(self.parts, 2 * spark.sparkContext.defaultParallelism), -(-self.edges // block_edges))
         # A hub shows in the count of its hash, so most tables need no count by source.
-        share = max(min_hot_rows, total // self.blocks, 1)
+        share = max(min_hot_rows, self.edges // self.blocks, 1)
         hubs = {}
-        if any(r["n"] > share for r in by_hash):
-            heavy = [r["h"] for r in by_hash if r["n"] > share]
-            found = ends.filter(F.pmod(F.xxhash64("src"), F.lit(self.parts)).isin(heavy)).groupBy("src").agg(F.count("*").alias("n"))
+        if heavy := [r["h"] for r in by_hash if r["n"] > share]:
+            if not parallel:
+                ends = ends.distinct()  # else a block does it, but copies of one edge can't be spread over blocks
+            found = ends.filter(hashed.isin(heavy)).groupBy("src").agg(F.count("*").alias("n"))
             hubs = {r["src"]: r["n"] for r in found.filter(F.col("n") > share).collect()}  # at most one a block
-        self._lay_out(ends, vertices, hubs, share)
-        ends.unpersist()
+        self._lay_out(ends, vertices, hubs, share, parallel)
 
     def _home(self, column: str, cut: Column | None = None) -> Column:
         return F.pmod(F.xxhash64(F.col(column), F.lit(0) if cut is None else cut), F.lit(self.blocks)).cast("int")
 
-    def _lay_out(self, ends: DataFrame, vertices: DataFrame | None, hubs: dict, share: int) -> None:
+    def _lay_out(self, ends: DataFrame, vertices: DataFrame | None, hubs: dict, share: int, parallel: bool) -> None:
         spark, hub_rows = ends.sparkSession, []
         if hubs:
             schema = T.StructType([T.StructField("hub", self.id_type), T.StructField("cuts", T.IntegerType()), T.StructField("degree", T.LongType())])
@@ -96,7 +103,8 @@ class RankBlocks:
         layout = T.StructType([*T.StructType.fromDDL(_STATIC).fields, *arrow_type.fields])
         with planned_shuffles(spark):
             ends = ends.select("place", "src", "dst").repartition(self.parts, "place").withColumn("to", self._home("dst"))
-            packed = keep(ends.groupBy("place").applyInArrow(_packer(hub_rows), layout))
+            packed = cut_lineage(ends.groupBy("place").applyInArrow(_packer(hub_rows, parallel), layout))
+            release_unused(spark)
             rows = packed.filter(F.col("kind").isin(VERTICES, FROM)).select("place", "kind", "other", "a", "b", "ids")
             if vertices is not None:
                 given = vertices.select(F.col("id").cast(self.id_type).alias("id")).distinct()
@@ -106,14 +114,13 @@ class RankBlocks:
                     places = F.coalesce("places", places)
                 given = given.select(F.explode(places).alias("place"), F.lit(GIVEN).alias("kind"), F.lit(None).cast("int").alias("other"), F.lit(None).cast("binary").alias("a"), F.lit(None).cast("binary").alias("b"), F.array("id").alias("ids"))
                 rows = rows.unionByName(given)
-            met = keep(rows.groupBy("place").applyInArrow(_numberer(hub_rows, vertices is not None), layout))
+            met = cut_lineage(rows.groupBy("place").applyInArrow(_numberer(hub_rows, vertices is not None), layout))
+            release_unused(spark)
             static = packed.filter(F.col("kind").isin(EDGES, TO)).unionByName(met.filter(F.col("kind").isin(VERTICES, FROM))).drop("ids")
-            self.static = keep(static.repartition(self.parts, "place"))
-            self.names = keep(met.filter(F.col("kind") == NAMES).select("place", "a", "ids").repartition(self.parts, "place"))
-            self.static.count()
-            self.names.count()
-        packed.unpersist()
-        met.unpersist()
+            self.names = cut_lineage(met.filter(F.col("kind") == NAMES).select("place", "a", "ids").repartition(self.parts, "place"))
+            self.static = cut_lineage(static.repartition(self.parts, "place"))
+        del packed, met, rows, static
+        release_unused(spark)
 
     def ranks(self, arrived: DataFrame | None, resets: list[float]) -> DataFrame:
         """A row a block with the ranks of its vertices: 1 each at the start, else by the messages of ``send``."""
@@ -141,8 +148,9 @@ class RankBlocks:
         return self.names.groupBy("place").cogroup(ranks.groupBy("place")).applyInArrow(rows, schema)
 
     def release(self) -> None:
-        self.static.unpersist()
-        self.names.unpersist()
+        """Lets go of the layout; frames made of it can't be run after."""
+        spark, self.static, self.names = self.static.sparkSession, None, None
+        release_unused(spark)
 
 
 def _table(rows: list[tuple], id_type: pa.DataType) -> pa.Table:
@@ -154,21 +162,30 @@ def _table(rows: list[tuple], id_type: pa.DataType) -> pa.Table:
     return pa.Table.from_arrays(columns, names=["place", "kind", "other", "a", "b", "ids"])
 
 
-def _packer(hubs: list[tuple]):
+def _packer(hubs: list[tuple], parallel: bool):
     """The edges of a block → its sources, edges as numbers, and for each other block the destinations there."""
 
     def pack(table: pa.Table) -> pa.Table:
         here = table["place"][0].as_py()
         src, dst = (_flat(table[c].combine_chunks().dictionary_encode()) for c in ("src", "dst"))
         codes, slots = (d.indices.to_numpy(zero_copy_only=False).astype(np.int32) for d in (src, dst))
-        ids, kind = dst.dictionary, dst.dictionary.type
-        degree = np.bincount(codes, minlength=len(src.dictionary)).astype(np.int64)
-        counts = _ints(degree)  # of a hub less than its degree
-        to = np.zeros(len(ids), np.int32)
+        to = np.zeros(len(dst.dictionary), np.int32)
         to[slots] = _flat(table["to"]).to_numpy(zero_copy_only=False)
-        order = np.argsort(to, kind="stable").astype(np.int32)
-        bounds = np.flatnonzero(np.diff(to[order], prepend=-1))
-        sent = {int(to[part[0]]): part for part in np.split(order, bounds[1:])}
+        # Destinations are numbered by their blocks, so what goes to a block is a range of the sums.
+        order = np.argsort(to, kind="stable")
+        ids, kind, to = dst.dictionary.take(pa.array(order)), dst.dictionary.type, to[order]
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        # Sorted by source, so the counts say where an edge starts.
+        both = codes.astype(np.int64) * len(ids) + number[slots]
+        if parallel:
+            both.sort()
+        else:
+            both = np.unique(both)
+        degree = np.bincount(both // len(ids), minlength=len(src.dictionary)).astype(np.int64)
+        counts = _ints(degree)  # of a hub less than its degree
+        bounds = np.flatnonzero(np.diff(to, prepend=-1, append=-1)).tolist()
+        sent = {int(to[start]): (start, end) for start, end in zip(bounds, bounds[1:])}
         for hub, rows, places in hubs:
             value = pa.scalar(hub, kind)
             if (at := pc.index(src.dictionary, value).as_py()) >= 0:
@@ -176,13 +193,13 @@ def _packer(hubs: list[tuple]):
             if (at := pc.index(ids, value).as_py()) >= 0:
                 for place in places:
                     if place != to[at]:
-                        sent[place] = np.append(sent.get(place, np.zeros(0, np.int32)), np.int32(at))
+                        sent[place] = (*sent.get(place, (0, 0)), at)
         rows = [(here, VERTICES, None, degree.tobytes(), counts, src.dictionary)]
-        # Sorted by source, so the counts say where an edge starts.
-        rows.append((here, EDGES, None, _ints(slots[np.argsort(codes, kind="stable")]), None, None))
-        for place, part in sent.items():
-            rows.append((here, TO, place, _ints(part), _ints([len(ids)]), None))
-            rows.append((place, FROM, here, None, None, ids.take(pa.array(part))))
+        rows.append((here, EDGES, None, _ints(both % len(ids)), None, None))
+        for place, (start, end, *single) in sent.items():
+            rows.append((here, TO, place, _ints([start, end, *single]), _ints([len(ids)]), None))
+            part = ids.slice(start, end - start)
+            rows.append((place, FROM, here, None, None, pa.concat_arrays([part, ids.take(pa.array(single, pa.int32()))]) if single else part))
         return _table(rows, kind)
 
     return pack
@@ -259,6 +276,11 @@ def _sender(resets: list[float]):
         counts, slots = _read(_parts(table, VERTICES)[0]["b"]), _read(_parts(table, EDGES)[0]["a"])
         for share, total in zip(shares, sums):
             total += np.bincount(slots, weights=np.repeat(share[: len(counts)], counts), minlength=len(total))
-        return _messages([(p["other"].as_py(), here, sums[:, _read(p["a"])].tobytes()) for p in to])
+
+        def of(start: int, end: int, *single: int) -> bytes:
+            part = sums[:, start:end]
+            return (np.hstack([part, sums[:, list(single)]]) if single else part).tobytes()
+
+        return _messages([(p["other"].as_py(), here, of(*_read(p["a"]).tolist())) for p in to])
 
     return send

@@ -197,6 +197,35 @@ def test_rank_messages_hold_a_number_for_a_block_and_destination(spark, random_e
         laid_out.release()
 
 
+def test_rank_blocks_collapse_parallel_edges_and_send_ranges(spark, random_edges):
+    edges = [(f"v{s}", f"v{d}") for s, d, _ in random_edges] * 2 + [("v1", "v0")] * 90
+    e = spark.createDataFrame(edges, "src string, dst string").repartition(3)
+    vertices = sorted({x for edge in edges for x in edge})
+    expected = brute_pagerank(vertices, sorted(set(edges)), 0.4, 2)
+    for min_hot_rows in (200_000, 10):
+        laid_out = RankBlocks(e, block_edges=40, min_hot_rows=min_hot_rows, parallel=False)
+        sent = laid_out.static.filter(F.col("kind") == 2)
+        # A first and a last number for a block's destinations, whatever their count, and one for each hub among them.
+        assert sent.filter(F.length("a") > 8 + 4 * (min_hot_rows == 10) * 12).isEmpty() and sent.count() > 1
+        arrived = laid_out.send(laid_out.send(None, [0.4]), [0.4])
+        found = {r["id"]: r["r"] for r in laid_out.named(laid_out.ranks(arrived, [0.4]), ["r"]).collect()}
+        scale = len(vertices) / sum(found.values())
+        assert {v: r * scale for v, r in found.items()} == pytest.approx(expected)
+        laid_out.release()
+    once = {r["id"]: r["pagerank"] for r in pagerank(e, 0.4, 2, parallel=False).collect()}
+    assert once == pytest.approx(expected)
+
+
+def test_pagerank_query_ranks_numbers(spark, trade, monkeypatch):
+    expected = {(r["id"], r["pagerank"]) for r in driver_queries._rounded(pagerank(views.trade_edges(spark, trade))).collect()}
+    seen = []
+    monkeypatch.setattr(driver_queries, "pagerank", lambda edges, **how: seen.append(edges.dtypes) or pagerank(edges, **how))
+    assert {tuple(r) for r in driver_queries.pagerank_all(spark, trade).collect()} == expected
+    monkeypatch.setattr(views, "trade_keys_fit", lambda spark, sf: False)
+    assert {tuple(r) for r in driver_queries.pagerank_all(spark, trade).collect()} == expected
+    assert seen == [[("src", t), ("dst", t)] if t == "bigint" else [("src", t), ("dst", t), ("weight", "bigint")] for t in ("bigint", "string")]
+
+
 def test_pagerank_of_given_vertices_and_no_edges(spark):
     e = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (1, 4)], "src int, dst int")
     v = spark.createDataFrame([(1,), (2,), (2,), (5,), (None,)], "id long")
