@@ -1,8 +1,10 @@
 import collections
 import string
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from paperweave import driver_queries
 from paperweave.functions import cells
 from paperweave.functions.cells import mint_iri, to_year
 from paperweave.operators import entities
@@ -17,7 +19,7 @@ from paperweave.plans import bibliography as bib
 from paperweave.plans import knowledge_graph as kg
 from paperweave.plans import property_graph as pg
 from paperweave.plans.knowledge_graph import abox_triples, knowledge_graph
-from paperweave.session import cut_lineage
+from paperweave.session import cut_lineage, shared_folder
 
 NS = "http://example.org/biblio/"
 
@@ -287,3 +289,25 @@ def test_iris_are_made_once_a_row_and_compared_without_the_namespace(spark, rows
     made = [line for line in plan if "Generate explode" in line]
     assert made and not any("translate(" in line or "regexp_replace(" in line for line in made)
     assert not any("http://ns/" in line for line in made + [line for line in plan if "HashAggregate" in line])
+
+
+def test_edges_of_each_kind_are_written_and_the_papers_let_go(spark, tmp_path):
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(k, f"NATION_{k}", 0) for k in range(25)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string",
+                   [(k, k % 7, "FOP"[k % 3], f"199{k % 4}-0{1 + k % 9}-01", f"{1 + k % 5}-SOME") for k in range(40)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_linenumber int", [(k, k % 6, 1 + k % 7) for k in range(40)]),
+    }
+    for name, (schema, data) in tables.items():
+        frame = spark.createDataFrame(data, schema)
+        if name == "orders":
+            frame = frame.withColumn("o_orderdate", F.to_date("o_orderdate"))
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    scratch = Path(shared_folder(spark), "scratch")
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    edges = driver_queries.edges_all(spark, str(tmp_path))
+    new = {p.name.rpartition("-")[0] for p in set(scratch.iterdir()) - before}
+    assert {"cited", "reviews", "graph-edges"} <= new and "papers" not in new
+    kinds = {r["type"]: r["count"] for r in edges.groupBy("type").count().collect()}
+    assert kinds["REVIEWS"] == 3 * 40 and kinds["CITED_BY"] > 0 and {"WRITES", "HAS", "MENTIONS", "IS_AFFILIATED_TO"} <= set(kinds)
