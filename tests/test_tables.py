@@ -304,7 +304,7 @@ def test_edges_of_each_kind_are_written_and_the_papers_let_go(spark, tmp_path):
         if name == "orders":
             frame = frame.withColumn("o_orderdate", F.to_date("o_orderdate"))
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
-    scratch = Path(shared_folder(spark), "scratch")
+    scratch = Path(shared_folder(spark).removeprefix("file:"), "scratch")
     before = set(scratch.iterdir()) if scratch.exists() else set()
     edges = driver_queries.edges_all(spark, str(tmp_path))
     new = {p.name.rpartition("-")[0] for p in set(scratch.iterdir()) - before}
